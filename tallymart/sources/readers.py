@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
+# A name that every header normalisation leaves as it is.
+CORRUPT = "corrupt_record"
 
 
 def csv_options(encoding: str = "UTF-8", multiline: bool = False) -> dict[str, str]:
