@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from tallymart.contract import MONEY
 
 # Characters dropped from money text, and from quantity text.
-MONEY_NOISE = r"[$₹€£,\s]"
-QUANTITY_NOISE = r"[\s,]"
+WHITE_SPACE = " \t\n\v\f\r"
+MONEY_NOISE = "$₹€£," + WHITE_SPACE
+QUANTITY_NOISE = "," + WHITE_SPACE
 
-# Fixed value: the date pattern tried before the ISO forms.
+# Fixed value: the date pattern known besides the ISO forms.
 DATE_FORMATS = ("M/d/yyyy",)
 
 
@@ -21,22 +22,30 @@ def blank_to_null(text: Column) -> Column:
 
 def money(text: Column) -> Column:
     """Decimal amount; NaN, infinities and type suffixes are not numbers here."""
-    digits = F.regexp_replace(text.cast("string"), MONEY_NOISE, "")
+    digits = F.translate(text.cast("string"), MONEY_NOISE, "")
     return F.nullif(digits, F.lit("")).try_cast(MONEY)
 
 
 def quantity(text: Column) -> Column:
     """Whole number; ``3.0`` is 3, ``3.5`` is NULL."""
-    digits = F.regexp_replace(text.cast("string"), QUANTITY_NOISE, "")
+    digits = F.translate(text.cast("string"), QUANTITY_NOISE, "")
     exact = F.nullif(digits, F.lit("")).try_cast(MONEY)
     return F.when(exact == F.floor(exact), exact.try_cast("int"))
 
 
-def parse_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """First format that fits, else the ISO date or timestamp forms, else NULL."""
+def parse_date(
+    text: Column, formats: tuple[str, ...] = DATE_FORMATS, iso_first: bool = True
+) -> Column:
+    """A date in an ISO form or in the first of ``formats`` that fits, else NULL.
+
+    Text in another form costs the ISO attempt little but a pattern an
+    exception, so ISO goes first; turn that off for a pattern such as
+    ``yyyy-dd-MM`` that an ISO date could be mistaken for.
+    """
     trimmed = blank_to_null(text.cast("string"))
-    attempts = [F.try_to_date(trimmed, f) for f in formats]
-    return F.coalesce(*attempts, trimmed.try_cast("date"))
+    iso = trimmed.try_cast("date")
+    patterns = [F.try_to_date(trimmed, f) for f in formats]
+    return F.coalesce(*([iso, *patterns] if iso_first else [*patterns, iso]))
 
 
 def dimension(text: Column) -> Column:

@@ -98,7 +98,10 @@ def _only_latest(head: DataFrame) -> DataFrame:
 
 
 def latest_totals(series: DataFrame, dim: str) -> DataFrame:
-    """Every value of the latest month, re-grouped."""
+    """Every value of the latest month, re-grouped.
+
+    Reads the series twice, the first time for its last date: pass a stored one.
+    """
     totals = series.groupBy("date", dim).agg(F.sum("revenue").alias("revenue"))
     return totals.where(F.col("date") == totals.select(F.max("date")).scalar())
 
@@ -107,20 +110,22 @@ def pareto(series: DataFrame, dim: str, n: int = 15) -> DataFrame:
     """Running share of the latest month's revenue, largest value first.
 
     The share is against the whole month; the list is cut to ``n`` afterwards.
-    Only the ``n`` rows kept are ever ordered in one place: the month's total
-    comes from its own aggregate.
+    Grouping sets put each month's total beside its values, so the top-k below
+    keeps the latest total and its ``n`` largest values, and only those rows
+    are ever ordered in one place.
     """
-    totals = series.groupBy("date", dim).agg(F.sum("revenue").alias("revenue"))
-    head = _only_latest(totals.orderBy(F.desc("date"), F.desc("revenue"), dim).limit(n))
-    months = totals.groupBy("date").agg(F.sum("revenue").alias("month_revenue"))
-    running = Window.orderBy(F.desc("revenue"), dim).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    revenue = F.sum("revenue").alias("revenue")
+    sums = series.groupingSets([["date", dim], ["date"]], "date", dim).agg(
+        revenue, F.grouping(dim).alias("_is_total")
     )
-    return (
-        head.withColumn("running", F.sum("revenue").over(running))
-        .join(months, "date")
-        .select("date", dim, "revenue", ratio(F.col("running"), F.col("month_revenue")).alias("cum_share"))
+    head = sums.orderBy(F.desc("date"), F.desc("_is_total"), F.desc("revenue"), dim).limit(n + 1)
+    latest = _only_latest(head)
+    running = Window.orderBy("_is_total", F.desc("revenue"), dim).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    total = F.max(F.when(F.col("_is_total") == 1, F.col("revenue"))).over(Window.partitionBy())
+    shared = latest.withColumn("cum_share", ratio(F.sum("revenue").over(running), total))
+    return shared.where(F.col("_is_total") == 0).select("date", dim, "revenue", "cum_share")
 
 
 def ranked_values(series: DataFrame, dim: str, n: int = 8) -> DataFrame:
@@ -148,7 +153,8 @@ def pivot_top(series: DataFrame, dim: str, n: int = 8) -> DataFrame:
 
     The ranking runs first and the pivot is over ranks, so only the kept values
     are pivoted and no value list travels through the driver.  Months in which
-    none of them sold stay, with zeros.
+    none of them sold stay, with zeros.  Reads the series twice: pass a stored
+    one.
     """
     ranked = series.join(ranked_values(series, dim, n), dim, "left")
     columns = [

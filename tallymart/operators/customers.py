@@ -45,7 +45,7 @@ def churn(
 def retention(df: DataFrame, customer: str = "customer_id") -> DataFrame:
     """Per month: active customers and how many of them bought the month after."""
     month = F.trunc("order_date", "month").alias("date")
-    active = df.groupBy(customer, month).agg(F.count(F.lit(1)).alias("_rows"))
+    active = df.select(customer, month).distinct()
     following = F.lead("date").over(Window.partitionBy(customer).orderBy("date"))
     stays = following == F.add_months("date", 1)
     flagged = active.select("date", stays.alias("_stays"))

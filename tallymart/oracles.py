@@ -290,9 +290,9 @@ TOP3 = """, top3 AS (
 """
 
 ORACLES: dict[str, str] = {
-    "normalize_names_snake": _renamed("order_id", "line_number", "country_market", "quantity"),
-    "normalize_names_strict": _renamed("order_id", "line_number", "country_market", "_quantity_"),
-    "normalize_names_lower": _renamed("order id", "line.number", "country/market", "[quantity]"),
+    "normalize_columns": _renamed("order_id", "line_number", "country_market", "quantity"),
+    "normalize_columns_strict": _renamed("order_id", "line_number", "country_market", "_quantity_"),
+    "normalize_columns_lower": _renamed("order id", "line.number", "country/market", "[quantity]"),
     "clean_money": _with(
         CLEAN,
         "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(line_number AS VARCHAR) AS line_number, "
@@ -345,7 +345,7 @@ ORACLES: dict[str, str] = {
     ),
     "profile_columns": _profile(),
     "null_rates": _null_rates(),
-    "quality_report": _quality_report(),
+    "schema_drift": _quality_report(),
     "preview_rows": _with(
         f"SELECT {_iso('order_date')} AS order_date, order_id, line_number, "
         "CAST(sales AS DOUBLE) AS sales_clean FROM good ORDER BY 1, 2, 3, sales LIMIT 5"

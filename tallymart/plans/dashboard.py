@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallymart.functions.measures import money_label, percent_label
 from tallymart.operators import timeseries as ts
 from tallymart.operators.aggregates import latest_top, pareto, top_series
+from tallymart.operators.schema import dimension_column
 
 
 def _latest_row(series: DataFrame) -> DataFrame:
@@ -48,12 +49,15 @@ def _contributors(by_dim: DataFrame, dim: str) -> DataFrame:
 
 
 def insights(
-    series: DataFrame, by_dim: DataFrame | None = None, dim: str = "category"
+    series: DataFrame, by_dim: DataFrame | None = None, dim: str | None = None
 ) -> DataFrame:
-    """Sentences about the latest month, numbered from 1; a default if none fits."""
+    """Sentences about the latest month, numbered from 1; a default if none fits.
+
+    ``dim`` defaults to the first column of ``by_dim`` that can be a dimension.
+    """
     sentences = [_direction(F.col("mom"), "last month"), _direction(F.col("yoy"), "last year")]
     if by_dim is not None:
-        sentences.append(_contributors(by_dim, dim).scalar())
+        sentences.append(_contributors(by_dim, dim or dimension_column(by_dim)).scalar())
     said = F.array_compact(F.array(*sentences))
     default = F.array(F.lit("No major changes detected."))
     return (
@@ -76,7 +80,7 @@ def _panel(df: DataFrame, panel: str, name: Column | str, x: str, y: Column) ->
 def dashboard_series(
     series: DataFrame,
     by_dim: DataFrame | None = None,
-    dim: str = "category",
+    dim: str | None = None,
     by_place: DataFrame | None = None,
     place: str = "country",
 ) -> DataFrame:
@@ -101,6 +105,7 @@ def dashboard_series(
         ),
     ]
     if by_dim is not None:
+        dim = dim or dimension_column(by_dim)
         ranked = pareto(by_dim, dim)
         panels += [
             _panel(ranked, "latest", "Revenue", dim, F.col("revenue")),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.contract import MAX_BAD_FRACTION, gold_schema
-from tallymart.functions.naming import normalize_columns
+from tallymart.functions import naming
 from tallymart.operators import aggregates as agg
 from tallymart.operators import cleaning, customers, dedupe, profile, quality
 from tallymart.operators import timeseries as ts
@@ -64,7 +64,8 @@ def shown(df: DataFrame, *money: str, exact: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_orders(messy_bronze(spark, sf_dir))
+    """Typed rows, stored once like a run's stage: the split reads columns, not text."""
+    return written(cleaning.clean_orders(messy_bronze(spark, sf_dir)), "cleaned")
 
 
 def _total_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +77,7 @@ def _series_by(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
 
 
 def _stored_series_by(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
+    """For marts that read their series more than once: the fact is read once."""
     return written(_series_by(spark, sf_dir, *dims), "series")
 
 
@@ -87,29 +89,29 @@ def _total_of(by_dim: DataFrame) -> DataFrame:
 
 
 def _renamed(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    named = normalize_columns(messy_bronze(spark, sf_dir), mode)
+    named = naming.normalize_columns(messy_bronze(spark, sf_dir), mode)
     order, line, quantity, country = (named.columns[i] for i in (0, 1, 7, 9))
     return shown(named.select(*[F.col(f"`{c}`") for c in (order, line, quantity, country)]))
 
 
 @query
-def normalize_names_snake(spark, sf_dir):
+def normalize_columns(spark, sf_dir):
     return _renamed(spark, sf_dir, "snake")
 
 
 @query
-def normalize_names_strict(spark, sf_dir):
+def normalize_columns_strict(spark, sf_dir):
     return _renamed(spark, sf_dir, "strict")
 
 
 @query
-def normalize_names_lower(spark, sf_dir):
+def normalize_columns_lower(spark, sf_dir):
     return _renamed(spark, sf_dir, "lower")
 
 
 @query
 def clean_money(spark, sf_dir):
-    raw = normalize_columns(messy_bronze(spark, sf_dir))
+    raw = naming.normalize_columns(messy_bronze(spark, sf_dir))
     columns = ("sales", "profit", "discount")
     cleaned = cleaning.clean_money(raw, *columns)
     return shown(cleaned.select("order_id", "line_number", *[f"{c}_clean" for c in columns]))
@@ -117,21 +119,21 @@ def clean_money(spark, sf_dir):
 
 @query
 def clean_quantity(spark, sf_dir):
-    raw = normalize_columns(messy_bronze(spark, sf_dir))
+    raw = naming.normalize_columns(messy_bronze(spark, sf_dir))
     cleaned = cleaning.clean_quantity(raw, "quantity")
     return shown(cleaned.select("order_id", "line_number", "quantity_clean"))
 
 
 @query
 def parse_dates(spark, sf_dir):
-    raw = normalize_columns(messy_bronze(spark, sf_dir))
+    raw = naming.normalize_columns(messy_bronze(spark, sf_dir))
     parsed = cleaning.parse_dates(raw, "order_date", "ship_date")
     return shown(parsed.select("order_id", "line_number", "order_date", "ship_date"))
 
 
 @query
 def standardize_dims(spark, sf_dir):
-    padded = normalize_columns(messy_bronze(spark, sf_dir))
+    padded = naming.normalize_columns(messy_bronze(spark, sf_dir))
     standard = cleaning.standardize_dimensions(padded, "category", "country_market")
     return shown(standard.select("order_id", "line_number", "category", "country_market"))
 
@@ -191,7 +193,7 @@ def null_rates(spark, sf_dir):
 
 
 @query
-def quality_report(spark, sf_dir):
+def schema_drift(spark, sf_dir):
     expected = (
         T.StructType()
         .add("o_orderkey", "long")
@@ -228,7 +230,7 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str, encoding: str, accent: str)
     path = scratch_path(spark, "bronze")
     source = _quoted_products(spark, sf_dir, accent)
     source.write.options(**writers.CSV_OPTIONS, encoding=encoding).csv(path)
-    back = normalize_columns(readers.read_bronze(spark, path, encoding))
+    back = naming.normalize_columns(readers.read_bronze(spark, path, encoding))
     return shown(back.select("order_id", "product_name", F.col("sales").try_cast("double").alias("sales")))
 
 
@@ -382,7 +384,7 @@ def top_categories_latest(spark, sf_dir):
 
 @query
 def latest_totals(spark, sf_dir):
-    return shown(agg.latest_totals(_series_by(spark, sf_dir, "category", "region"), "category"))
+    return shown(agg.latest_totals(_stored_series_by(spark, sf_dir, "category", "region"), "category"))
 
 
 @query
@@ -419,12 +421,12 @@ def category_pivot(spark, sf_dir):
 
 @query
 def category_pivot_top8(spark, sf_dir):
-    return shown(agg.pivot_top(_series_by(spark, sf_dir, "country"), "country"))
+    return shown(agg.pivot_top(_stored_series_by(spark, sf_dir, "country"), "country"))
 
 
 @query
 def category_series_top8(spark, sf_dir):
-    return shown(agg.top_series(_series_by(spark, sf_dir, "country"), "country"))
+    return shown(agg.top_series(_stored_series_by(spark, sf_dir, "country"), "country"))
 
 
 # -- time series -----------------------------------------------------------------------

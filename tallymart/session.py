@@ -31,6 +31,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A hot key is split even if the next aggregate then needs a shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
         "spark.sql.parquet.filterPushdown": "true",
     }

@@ -87,12 +87,16 @@ def read_csv_folder(
 ) -> DataFrame:
     """All CSV parts of a folder and of the folders below it as one table.
 
-    With a schema the columns are typed, so sorting months is numeric.
+    With a schema the columns are typed, so sorting months is numeric.  A folder
+    without any part is an error, not an empty table.
     """
     reader = spark.read.options(
         header="true", escape='"', recursiveFileLookup="true", pathGlobFilter="*.csv"
     )
-    return (reader.schema(schema) if schema else reader).csv(path)
+    df = (reader.schema(schema) if schema else reader).csv(path)
+    if not df.inputFiles():
+        raise FileNotFoundError(f"No CSV files in {path}")
+    return df
 
 
 def read_optional(

@@ -39,10 +39,21 @@ def daily_revenue(
 
 
 def distinct_events(
-    events: DataFrame, *keys: str, ts: str = "ts", delay: str = "1 day"
+    events: DataFrame, *keys: str, ts: str = "ts", delay: str = "1 day", salts: int = 1
 ) -> DataFrame:
-    """The first event per key; state is kept only as long as copies may come."""
-    return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """The first event per key; state is kept only as long as copies may come.
+
+    Copies of one event all meet in one task.  Where such a group can be large,
+    ``salts`` first removes copies within that many parts of each group; what
+    is left of a group is then at most ``salts`` rows.  It keeps more state, so
+    it is off by default.
+    """
+    marked = events.withWatermark(ts, delay)
+    if salts > 1:
+        spread = F.floor(F.rand() * salts).cast("int")
+        parted = marked.withColumn("_salt", spread)
+        marked = parted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def drain(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:

@@ -67,6 +67,12 @@ def test_csv_folder_reads_nested_parts_and_sorts_by_number(spark, tmp_path):
     assert df.agg(F.sum("total_sales")).first()[0] == Decimal("12.5")
 
 
+def test_csv_folder_without_parts_is_an_error(spark, tmp_path):
+    put(tmp_path / "gold", "notes.txt", "not a part")
+    with pytest.raises(FileNotFoundError):
+        readers.read_csv_folder(spark, str(tmp_path / "gold"), gold_schema())
+
+
 def test_optional_table(spark, tmp_path):
     assert readers.read_optional(spark, str(tmp_path / "none")) is None
     path = str(tmp_path / "some")

@@ -107,11 +107,13 @@ def test_closed_days_only_and_late_rows_dropped(spark, tmp_path):
     assert got == {1: 1.0, 2: 2.0, 6: 3.0}
 
 
-def test_distinct_events(spark, tmp_path):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_distinct_events(spark, tmp_path, salts):
     folder = str(tmp_path / "events")
     rows = [(i % 5, START, 1.0) for i in range(20)]
     event_files(spark, folder, [rows[:10], rows[10:]])
-    kept = ev.distinct_events(ev.event_stream(spark, folder), "event_id")
+    stream = ev.event_stream(spark, folder, max_files=1)
+    kept = ev.distinct_events(stream, "event_id", salts=salts)
     assert ev.drain(kept, str(tmp_path / "sink"), str(tmp_path / "checkpoint")).count() == 5
 
 

@@ -38,6 +38,8 @@ def test_dates(spark):
     expected = [date(2011, 2, 5), date(2011, 2, 5), date(2012, 12, 31), date(2011, 2, 5)] + [None] * 4
     assert one(spark, V.parse_date, texts) == expected
     assert one(spark, lambda c: V.parse_date(c, ("dd.MM.yyyy",)), ["31.12.2012"]) == [date(2012, 12, 31)]
+    flipped = one(spark, lambda c: V.parse_date(c, ("yyyy-dd-MM",), iso_first=False), ["2012-03-04", "2012-01-31"])
+    assert flipped == [date(2012, 4, 3), date(2012, 1, 31)]
 
 
 def test_dimension_and_blank(spark):
