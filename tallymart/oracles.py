@@ -289,6 +289,11 @@ TOP3 = """, top3 AS (
   ORDER BY revenue DESC, category LIMIT 3)
 """
 
+ALL_DAYS = """
+    SELECT strftime(ts, '%Y-%m-%d') AS day, event_type,
+           CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS revenue, count(*) AS events
+    FROM events GROUP BY 1, 2"""
+
 ORACLES: dict[str, str] = {
     "normalize_columns": _renamed("order_id", "line_number", "country_market", "quantity"),
     "normalize_columns_strict": _renamed("order_id", "line_number", "country_market", "_quantity_"),
@@ -596,9 +601,7 @@ ORACLES: dict[str, str] = {
         FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY
              <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
         GROUP BY 1, 2""",
-    "daily_revenue_batch": """
-        SELECT strftime(ts, '%Y-%m-%d') AS day, event_type,
-               CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS revenue, count(*) AS events
-        FROM events GROUP BY 1, 2""",
+    "daily_revenue_live": ALL_DAYS,
+    "daily_revenue_batch": ALL_DAYS,
     "distinct_event_stream": "SELECT DISTINCT event_id, user_id, event_type FROM events",
 }

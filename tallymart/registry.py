@@ -63,9 +63,13 @@ def shown(df: DataFrame, *money: str, exact: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*columns)
 
 
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_orders(messy_bronze(spark, sf_dir))
+
+
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows, stored once like a run's stage: the split reads columns, not text."""
-    return written(cleaning.clean_orders(messy_bronze(spark, sf_dir)), "cleaned")
+    return written(_typed(spark, sf_dir), "cleaned")
 
 
 def _total_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +169,7 @@ def except_all(spark, sf_dir):
 
 @query
 def quality_metrics(spark, sf_dir):
-    metrics = quality.quality_metrics(_cleaned(spark, sf_dir), quality.is_good())
+    metrics = quality.quality_metrics(_typed(spark, sf_dir), quality.is_good())
     passed = F.col("bad_fraction") <= MAX_BAD_FRACTION
     return shown(metrics.withColumn("gate_passed", passed))
 
@@ -189,7 +193,7 @@ def profile_quartiles(spark, sf_dir):
 
 @query
 def null_rates(spark, sf_dir):
-    return shown(profile.null_rates(_cleaned(spark, sf_dir)))
+    return shown(profile.null_rates(_typed(spark, sf_dir)))
 
 
 @query
@@ -583,6 +587,14 @@ def daily_revenue_stream(spark, sf_dir):
     return shown(_drained(spark, ev.daily_revenue(events, "event_type"), "daily"))
 
 
+@query
+def daily_revenue_live(spark, sf_dir):
+    sink = scratch_path(spark, "live")
+    daily = ev.daily_revenue(ev.event_stream(spark, f"{sf_dir}/events*.parquet"), "event_type")
+    ev.publish_updates(daily, sink, scratch_path(spark, "live-checkpoint"))
+    return shown(ev.current_rows(spark, sink, "day", "event_type"))
+
+
 @query
 def daily_revenue_batch(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.operators.dedupe import dedupe_latest
+
 
 def event_stream(
     spark: SparkSession, path: str, ts: str = "ts", max_files: int | None = None
@@ -50,7 +52,7 @@ def distinct_events(
     """
     marked = events.withWatermark(ts, delay)
     if salts > 1:
-        spread = F.floor(F.rand() * salts).cast("int")
+        spread = F.floor(F.rand(seed=1) * salts).cast("int")
         parted = marked.withColumn("_salt", spread)
         marked = parted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return marked.dropDuplicatesWithinWatermark(list(keys))
@@ -68,3 +70,34 @@ def drain(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
     )
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(sink)
+
+
+def publish_updates(stream: DataFrame, sink: str, checkpoint: str) -> None:
+    """Write every changed row of an aggregate, open days included.
+
+    A micro-batch is one ``batch=`` folder, so a replayed one replaces itself.
+    """
+
+    def publish(changed: DataFrame, number: int) -> None:
+        (
+            changed.withColumn("batch", F.lit(number))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(sink)
+        )
+
+    query = (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def current_rows(spark: SparkSession, sink: str, *keys: str) -> DataFrame:
+    """The last published row of each key."""
+    published = spark.read.parquet(sink)
+    return dedupe_latest(published, list(keys), [F.desc("batch")]).drop("batch")

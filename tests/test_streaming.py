@@ -107,6 +107,16 @@ def test_closed_days_only_and_late_rows_dropped(spark, tmp_path):
     assert got == {1: 1.0, 2: 2.0, 6: 3.0}
 
 
+def test_open_days_are_published_and_updated(spark, tmp_path):
+    day = timedelta(days=1)
+    folder, sink, checkpoint = (str(tmp_path / n) for n in ("events", "sink", "checkpoint"))
+    for rows in ([(1, START, 1.0), (2, START + day, 2.0)], [(3, START + day, 0.5), (4, START + 2 * day, 4.0)]):
+        event_files(spark, folder, [rows])
+        ev.publish_updates(ev.daily_revenue(ev.event_stream(spark, folder)), sink, checkpoint)
+    got = {r["day"].day: (float(r["revenue"]), r["events"]) for r in ev.current_rows(spark, sink, "day").collect()}
+    assert got == {1: (1.0, 1), 2: (2.5, 2), 3: (4.0, 1)}
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_distinct_events(spark, tmp_path, salts):
     folder = str(tmp_path / "events")
