@@ -52,9 +52,11 @@ def top_by(df: DataFrame, dim: str, n: int, amount: str = "sales_clean") -> Data
     return largest(revenue_by(df, dim, amount=amount), n, "revenue", dim)
 
 
-def revenue_share(df: DataFrame, dim: str, amount: str = "sales_clean") -> DataFrame:
-    """Sales per dimension value and its share of all sales."""
-    by_dim = revenue_by(df, dim, amount=amount)
+def revenue_share(by_dim: DataFrame) -> DataFrame:
+    """Share of all revenue for each row of a ``revenue_by`` table.
+
+    The table is read twice, once for its total: pass a stored one.
+    """
     total = by_dim.select(F.sum("revenue")).scalar()
     return by_dim.withColumn("share", ratio(F.col("revenue"), total))
 

@@ -24,22 +24,19 @@ def lifetime_value(
     )
 
 
-def churn(
-    df: DataFrame, customer: str = "customer_id", inactive_days: int = 180, as_of: str | None = None
-) -> DataFrame:
-    """Days since each customer's last order; churned above ``inactive_days``.
+def last_orders(df: DataFrame, customer: str = "customer_id") -> DataFrame:
+    return df.groupBy(customer).agg(F.max("order_date").alias("last_order"))
+
 
-    The cut-off is ``as_of``, or the last order date of all customers.
+def churn(last: DataFrame, inactive_days: int = 180, as_of: str | None = None) -> DataFrame:
+    """Days since each last order; churned above ``inactive_days``.
+
+    ``last`` is a ``last_orders`` table.  The cut-off is ``as_of``; without it
+    the table is read once more for its last date, so pass a stored one.
     """
-    last = df.groupBy(customer).agg(F.max("order_date").alias("last_order"))
     cut = F.to_date(F.lit(as_of)) if as_of else last.select(F.max("last_order")).scalar()
     recency = F.datediff(cut, F.col("last_order"))
-    return last.select(
-        customer,
-        "last_order",
-        recency.alias("recency_days"),
-        (recency > inactive_days).alias("churned"),
-    )
+    return last.withColumns({"recency_days": recency, "churned": recency > inactive_days})
 
 
 def retention(df: DataFrame, customer: str = "customer_id") -> DataFrame:

@@ -404,7 +404,8 @@ def sales_by_region(spark, sf_dir):
 
 @query
 def category_share(spark, sf_dir):
-    return shown(agg.revenue_share(good_fact(spark, sf_dir, "category"), "category"))
+    by_category = agg.revenue_by(good_fact(spark, sf_dir, "category"), "category")
+    return shown(agg.revenue_share(written(by_category, "by-category")))
 
 
 @query
@@ -569,7 +570,8 @@ def customer_ltv(spark, sf_dir):
 
 @query
 def customer_churn(spark, sf_dir):
-    return shown(customers.churn(good_fact(spark, sf_dir)))
+    last = written(customers.last_orders(good_fact(spark, sf_dir)), "last-orders")
+    return shown(customers.churn(last))
 
 
 @query

@@ -23,11 +23,11 @@ def test_lifetime_value(spark):
 
 
 def test_churn(spark):
-    df = spark.createDataFrame(ORDERS, SCHEMA)
-    assert {r["customer_id"]: r["churned"] for r in customers.churn(df).collect()} == {
+    last = customers.last_orders(spark.createDataFrame(ORDERS, SCHEMA))
+    assert {r["customer_id"]: r["churned"] for r in customers.churn(last).collect()} == {
         "c1": True, "c2": True, "c3": False,
     }
-    early = customers.churn(df.where("customer_id <> 'c3'"), as_of="2011-02-10", inactive_days=20)
+    early = customers.churn(last.where("customer_id <> 'c3'"), as_of="2011-02-10", inactive_days=20)
     assert {r["customer_id"]: (r["recency_days"], r["churned"]) for r in early.collect()} == {
         "c1": (9, False), "c2": (32, True),
     }

@@ -105,11 +105,6 @@ def test_top_k_is_bounded(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(agg.top_by(good_fact(spark, sf_dir), "customer_id", 10))
 
 
-def test_share_reuses_the_aggregate(spark, sf_dir):
-    text = plan(agg.revenue_share(good_fact(spark, sf_dir, "category"), "category"), final=True)
-    assert "ReusedExchange" in text.split("== Initial Plan ==")[0]
-
-
 def test_dedupe_limits_each_task_first(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     text = plan(dedupe.dedupe_latest(lines, ["l_orderkey"], [F.desc("l_shipdate"), "l_partkey"]))

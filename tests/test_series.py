@@ -148,8 +148,9 @@ def test_pivots(spark):
 
 
 def test_shares_sum_to_one(spark):
-    df = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "k string, sales_clean double")
-    assert {r["k"]: r["share"] for r in agg.revenue_share(df, "k").collect()} == {"a": 0.25, "b": 0.75}
+    df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 2.0)], "k string, sales_clean double")
+    shares = agg.revenue_share(agg.revenue_by(df, "k"))
+    assert {r["k"]: r["share"] for r in shares.collect()} == {"a": 0.25, "b": 0.75}
 
 
 def test_totals_with_nothing_sold(spark):
