@@ -304,6 +304,11 @@ ORACLES: dict[str, str] = {
         "CAST(sales_clean AS DOUBLE) AS sales_clean, CAST(profit AS DOUBLE) AS profit_clean, "
         "CAST(discount AS DOUBLE) AS discount_clean FROM clean",
     ),
+    "canonical_columns": _with(
+        CLEAN,
+        f"SELECT CAST(order_id AS VARCHAR) AS order_id, {_iso('date_clean')} AS order_date, "
+        "CAST(sales_clean AS DOUBLE) AS sales_clean, quantity AS quantity_clean FROM clean",
+    ),
     "clean_quantity": _with(
         "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(line_number AS VARCHAR) AS line_number, "
         "quantity AS quantity_clean FROM fact"
@@ -406,6 +411,13 @@ ORACLES: dict[str, str] = {
         f"SELECT {_total()} AS total_sales, {_total('profit')} AS total_profit, "
         f"round({_total('profit')} / {_total()}, 6) AS profit_margin FROM good"
     ),
+    "display_labels": _with(
+        f""", totals AS (
+          SELECT country, sub_category, {_total()} AS revenue, {_total('profit')} / {_total()} * 100 AS margin
+          FROM good GROUP BY country, sub_category) """,
+        f"SELECT country, sub_category, {_money('revenue')} AS revenue, {_percent('margin')} AS margin "
+        "FROM totals",
+    ),
     "top_categories": _by("category", "ORDER BY revenue DESC, category LIMIT 5"),
     "top_categories_latest": _with(
         _series("country"),

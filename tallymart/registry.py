@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.contract import MAX_BAD_FRACTION, gold_schema
-from tallymart.functions import naming
+from tallymart.functions import measures, naming
 from tallymart.operators import aggregates as agg
 from tallymart.operators import cleaning, customers, dedupe, profile, quality
 from tallymart.operators import timeseries as ts
@@ -113,6 +113,13 @@ def normalize_columns_lower(spark, sf_dir):
     return _renamed(spark, sf_dir, "lower")
 
 
+@query
+def canonical_columns(spark, sf_dir):
+    variants = {"Order Date": "OrderDate", "Sales": "AMOUNT", "[Quantity]": "Qty"}
+    cleaned = cleaning.clean_orders(messy_bronze(spark, sf_dir).withColumnsRenamed(variants))
+    return shown(cleaned.select("order_id", "order_date", "sales_clean", "quantity_clean"))
+
+
 @query
 def clean_money(spark, sf_dir):
     raw = naming.normalize_columns(messy_bronze(spark, sf_dir))
@@ -376,6 +383,22 @@ def kpi_totals(spark, sf_dir):
     return shown(agg.kpi_totals(good_fact(spark, sf_dir)))
 
 
+@query
+def display_labels(spark, sf_dir):
+    totals = good_fact(spark, sf_dir, "country", "sub_category").groupBy("country", "sub_category").agg(
+        F.sum("sales_clean").alias("revenue"), F.sum("profit_clean").alias("profit")
+    )
+    margin = measures.ratio(F.col("profit"), F.col("revenue")) * 100
+    return shown(
+        totals.select(
+            "country",
+            "sub_category",
+            measures.money_label(F.col("revenue")).alias("revenue"),
+            measures.percent_label(margin).alias("margin"),
+        )
+    )
+
+
 @query
 def top_categories(spark, sf_dir):
     return shown(agg.top_by(good_fact(spark, sf_dir, "category"), "category", 5))

@@ -19,13 +19,22 @@ def shuffle_width(input_bytes: int, floor: int = 200, ceiling: int = 50_000) ->
     return max(floor, min(ceiling, math.ceil(input_bytes / ADVISORY_BYTES)))
 
 
+def split_size(input_bytes: int, tasks: int = 200_000) -> int:
+    """Scan split for an input size: 128 MiB, up to 512 MiB to bound the task count."""
+    return max(ADVISORY_BYTES, min(4 * ADVISORY_BYTES, math.ceil(input_bytes / tasks)))
+
+
 def build_session(
     app_name: str = "tallymart",
     master: str | None = None,
     input_bytes: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A UTC session that leaves partition counts, skew and join choice to AQE."""
+    """A UTC session that leaves partition counts, skew and join choice to AQE.
+
+    ``input_bytes`` sets the sizes AQE starts from: scan splits and the shuffle
+    width it then merges.
+    """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -40,6 +49,7 @@ def build_session(
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
             shuffle_width(input_bytes)
         )
+        settings["spark.sql.files.maxPartitionBytes"] = str(split_size(input_bytes))
     settings.update(conf or {})
     builder = SparkSession.builder.appName(app_name)
     if master is not None:

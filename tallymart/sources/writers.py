@@ -19,7 +19,7 @@ CSV_OPTIONS = {
 
 
 def balanced(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of one key side by side in files of the advisory size.
+    """Rows of one key side by side, if keys are given, in files of the advisory size.
 
     A rebalance, unlike a hash repartition, lets AQE split a key that holds too
     much data over several tasks and merge the small ones.
@@ -64,7 +64,7 @@ def export_csv(df: DataFrame, path: str, *order: str) -> None:
 def write_quarantine(bad: DataFrame, path: str, run_id: str) -> None:
     """All rejects of a run below ``run_id=``; a repeated run replaces its own."""
     (
-        bad.withColumn("run_id", F.lit(run_id))
+        balanced(bad.withColumn("run_id", F.lit(run_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallymart.operators.quality import QualityGateError
 from tallymart.plans import marts
 from tallymart.plans.pipeline import RunOptions, run_batch
-from tallymart.session import scratch_root, shuffle_width, written
+from tallymart.session import scratch_root, shuffle_width, split_size, written
 from tallymart.sources.paths import LakePaths
 
 HEADER = "Order ID,Order Date,Sales,Quantity,Category,Region,Year\n"
@@ -153,3 +153,9 @@ def test_shuffle_width():
     assert shuffle_width(0) == 200
     assert shuffle_width(10 * 1024**4) == 50_000
     assert shuffle_width(128 * 1024**2 * 1000) == 1000
+
+
+def test_split_size():
+    mib = 1024**2
+    assert split_size(0) == 128 * mib
+    assert split_size(100 * 1024**4) == 512 * mib
