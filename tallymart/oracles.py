@@ -354,6 +354,15 @@ ORACLES: dict[str, str] = {
         f"SELECT {REASON} AS reason, count(*) AS rows FROM fact WHERE fault < 4 GROUP BY 1"
     ),
     "profile_columns": _profile(),
+    "profile_quartiles": " UNION ALL ".join(
+        f"SELECT '{c}' AS column, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, "
+        f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50, "
+        f"quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75 FROM lineitem"
+        for c in (
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        )
+    ),
     "null_rates": _null_rates(),
     "schema_drift": _quality_report(),
     "preview_rows": _with(

@@ -15,18 +15,22 @@ def raw_stream(
     path: str,
     options: RunOptions = RunOptions(),
     names: list[str] | None = None,
-    max_files: int | None = None,
+    source_options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A streaming scan of a folder of headered CSV files."""
+    """A streaming scan of a folder of headered CSV files.
+
+    ``source_options`` go to the file source: ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger`` bound a micro-batch, ``cleanSource`` moves files
+    that are done out of the folder so that listing it stays cheap.
+    """
     names = names or csv_header(spark, path, options.encoding)
-    reader = (
+    return (
         spark.readStream.options(**csv_options(options.encoding, options.multiline))
+        .options(**(source_options or {}))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(text_schema(names))
+        .csv(path)
     )
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
 
 
 def ingest_available(
@@ -35,7 +39,7 @@ def ingest_available(
     paths: LakePaths,
     options: RunOptions = RunOptions(job_name="retail_ingest"),
     names: list[str] | None = None,
-    max_files: int | None = None,
+    source_options: dict[str, str] | None = None,
     stream: str = "orders",
     stop_at_gate: bool = True,
 ) -> None:
@@ -56,7 +60,7 @@ def ingest_available(
                 raise
 
     query = (
-        raw_stream(spark, raw_path, options, names, max_files)
+        raw_stream(spark, raw_path, options, names, source_options)
         .writeStream.foreachBatch(publish)
         .option("checkpointLocation", paths.checkpoint(stream))
         .trigger(availableNow=True)

@@ -2,6 +2,10 @@ from __future__ import annotations
 
 from datetime import date
 
+import pandas as pd
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +57,20 @@ def test_quartiles_are_within_their_rank_error(spark):
         assert abs(got - p * n) <= 2 * n / 1000
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-50, 50)), min_size=1, max_size=60))
+def test_exact_quantiles_against_pandas(spark, values):
+    df = spark.createDataFrame([(v, 2.5) for v in values], "v int, w double").repartition(3)
+    got = {r["column"]: r for r in profile.exact_quantiles(df, (0.1, 0.5, 0.75)).collect()}
+    expected = pd.Series(values, dtype="float").dropna()
+    assert tuple(got["w"])[1:] == (2.5, 2.5, 2.5)
+    if expected.empty:
+        assert "v" not in got
+    else:
+        assert tuple(got["v"])[1:] == pytest.approx(tuple(expected.quantile([0.1, 0.5, 0.75])))
+        assert got["v"].__fields__ == ["column", "p10", "p50", "p75"]
+
+
 def test_null_rates(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "`a.b` int, c string")
     assert [tuple(r) for r in profile.null_rates(df).collect()] == [("a.b", 2, 1, 0.5), ("c", 2, 2, 1.0)]

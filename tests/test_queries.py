@@ -9,9 +9,6 @@ from compare import connect, duckdb_rows, spark_rows, types_agree
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
-# Approximate by design; their error bound has its own test.
-WITHOUT_ORACLE = {"profile_quartiles"}
-
 # Joins of everything with everything, and row work outside the JVM.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas")
 
@@ -23,8 +20,7 @@ def con(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) - set(ORACLES) == WITHOUT_ORACLE
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

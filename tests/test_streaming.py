@@ -15,6 +15,7 @@ from tallymart.sources.readers import read_bronze
 from tallymart.streaming import events as ev
 from tallymart.streaming.ingest import ingest_available
 
+ONE_FILE = {"maxFilesPerTrigger": "1"}
 HEADER = "Order ID,Order Date,Sales,Category\n"
 LINES = [f"{i},{1 + i % 12}/3/{2011 + i % 2},{i + 1}.25,{'abc'[i % 3]}\n" for i in range(60)] + ["60,x,1,a\n"]
 
@@ -39,7 +40,7 @@ def test_any_split_gives_the_batch_result(spark, tmp_path, cuts):
     parts = {f"p{i}.csv": LINES[a:b] for i, (a, b) in enumerate(zip(edges, edges[1:]))}
     lake = LakePaths(str(tmp_path / "lake"))
     options = RunOptions(job_name="retail_ingest", max_bad_fraction=0.2)
-    ingest_available(spark, put(tmp_path / "raw", parts), lake, options, max_files=1)
+    ingest_available(spark, put(tmp_path / "raw", parts), lake, options, source_options=ONE_FILE)
     assert gold(spark, lake, marts.read_gold_batches) == gold(spark, whole, marts.read_gold)
     assert marts.audit_log(spark, lake).count() == len(parts)
     assert spark.read.parquet(lake.silver_batches).count() == 60
@@ -78,9 +79,9 @@ def test_gate_per_batch(spark, tmp_path):
     raw = put(tmp_path / "raw", {"a.csv": LINES[:20], "b.csv": ["1,x,1,a\n"]})
     stopped = LakePaths(str(tmp_path / "stopped"))
     with pytest.raises(StreamingQueryException):
-        ingest_available(spark, raw, stopped, max_files=1)
+        ingest_available(spark, raw, stopped, source_options=ONE_FILE)
     lake = LakePaths(str(tmp_path / "lake"))
-    ingest_available(spark, raw, lake, max_files=1, stop_at_gate=False)
+    ingest_available(spark, raw, lake, source_options=ONE_FILE, stop_at_gate=False)
     assert spark.read.parquet(lake.silver_batches).count() == 20
     assert {r["status"] for r in marts.audit_log(spark, lake).collect()} == {"SUCCEEDED", "ABORTED"}
 
