@@ -54,19 +54,19 @@ class RunResult:
     marts: tuple[str, ...]
 
 
-def _stage(classified: DataFrame, run_id: str) -> tuple[DataFrame, str]:
+def _stage(classified: DataFrame, folder: str) -> DataFrame:
     """The classified rows as Parquet in the shared folder.
 
     The raw text is parsed once, in a write without a shuffle; counts, rejects
     and silver all come from this table.  A lost executor costs a re-read of
     some files, and the counts cannot disagree with what is published.
     """
-    path = scratch_path(classified.sparkSession, f"stage-{run_id}")
+    path = f"{folder}/stage"
     flagged = classified.withColumn(STAGE_FLAG, F.size(REASONS) == 0)
     flagged.write.partitionBy(STAGE_FLAG).parquet(path)
     schema = T.StructType([f for f in flagged.schema if f.name != STAGE_FLAG])
     schema = schema.add(STAGE_FLAG, T.BooleanType())
-    return classified.sparkSession.read.schema(schema).parquet(path), path
+    return classified.sparkSession.read.schema(schema).parquet(path)
 
 
 def _stage_metrics(staged: DataFrame) -> RunMetrics:
@@ -109,8 +109,9 @@ def process(
         )
 
     classified = classify(clean_orders(bronze, options.contract, options.names))
-    staged, stage_path = _stage(classified, run_id)
+    folder = scratch_path(spark, f"run-{run_id}")
     try:
+        staged = _stage(classified, folder)
         metrics = _stage_metrics(staged)
         if metrics.row_bad:
             rejects = staged.where(~F.col(STAGE_FLAG)).drop(STAGE_FLAG)
@@ -123,10 +124,11 @@ def process(
         good = staged.where(STAGE_FLAG).drop(STAGE_FLAG, REASONS, CORRUPT)
         if options.drop_duplicates:
             good = dedupe_exact(good)
-        marts = _publish(silver_columns(good, options.contract), paths, options, run_id, batch_id)
+        silver = silver_columns(good, options.contract)
+        marts = _publish(silver, paths, options, folder, batch_id)
         audit("SUCCEEDED", metrics)
     finally:
-        remove_path(spark, stage_path)
+        remove_path(spark, folder)
     if options.export:
         _export_metrics(spark, paths, run_id, metrics)
     return RunResult(run_id, "SUCCEEDED", metrics, tuple(marts))
@@ -136,9 +138,9 @@ def _publish(
     silver: DataFrame,
     paths: LakePaths,
     options: RunOptions,
-    run_id: str,
+    folder: str,
     batch_id: str | None,
-) -> dict[str, DataFrame]:
+) -> list[str]:
     spark = silver.sparkSession
     if batch_id is None:
         writers.write_silver(silver, paths.silver)
@@ -151,9 +153,8 @@ def _publish(
     if options.silver_csv:
         writers.write_silver_csv(stored, paths.export(f"silver-{batch_id or 'full'}"))
     marts = available_marts(stored.columns, options.marts)
-    base = written(base_aggregate(stored, marts), f"base-{run_id}")
-    tables = mart_tables(base, marts)
-    for name, table in tables.items():
+    base = written(base_aggregate(stored, marts), "base", folder)
+    for name, table in mart_tables(base, marts).items():
         if batch_id is None:
             writers.write_gold(table, paths.gold(name))
             if options.export:
@@ -161,7 +162,7 @@ def _publish(
         else:
             partial = table.withColumn("batch_id", F.lit(batch_id))
             writers.write_batch(partial, paths.gold_batches(name))
-    return tables
+    return list(marts)
 
 
 def _export_metrics(

@@ -83,14 +83,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder, or to ``folder``, and read back.
 
     Use it for a small aggregate that feeds several branches of one mart: the
     scan below it runs once, and a lost executor re-reads a file instead of
     recomputing the branch.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = f"{folder}/{name}" if folder else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

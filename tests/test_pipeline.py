@@ -64,7 +64,7 @@ def test_run_publishes_all_layers(spark, lake, raw):
     for name in ("monthly_revenue", "monthly_revenue_by_category", "metrics/run_id=r1"):
         assert len(list(Path(lake.export(name)).glob("*.csv"))) == 1
     assert list(Path(lake.export("silver-full")).glob("*.csv"))
-    assert not [n for n in os.listdir(scratch_root(spark)) if n.startswith("stage-r1")]
+    assert not [n for n in os.listdir(scratch_root(spark)) if n.startswith("run-r1")]
 
 
 def test_gate_keeps_rejects_and_an_audit_row_only(spark, lake, raw):
@@ -75,7 +75,7 @@ def test_gate_keeps_rejects_and_an_audit_row_only(spark, lake, raw):
     assert not Path(lake.silver).exists() and not Path(lake.gold("monthly_revenue")).exists()
     (audit,) = marts.audit_log(spark, lake).collect()
     assert (audit["status"], audit["bad_fraction"]) == ("ABORTED", 0.1)
-    assert not [n for n in os.listdir(scratch_root(spark)) if n.startswith("stage-bad")]
+    assert not [n for n in os.listdir(scratch_root(spark)) if n.startswith("run-bad")]
 
 
 def test_limit_is_a_parameter(spark, lake, raw):

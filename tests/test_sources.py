@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallymart.contract import gold_schema
+from tallymart.contract import ORDER_FILE_COLUMNS, gold_schema
+from tallymart.operators.profile import schema_drift
 from tallymart.operators.quality import classify, quality_metrics
 from tallymart.sources import readers, writers
 from tallymart.sources.paths import LakePaths, new_run_id
@@ -108,6 +110,13 @@ def test_export_is_one_sorted_file(spark, tmp_path):
     assert part.read_text().split() == ["year,month", "1,2", "1,12", "2,1"]
 
 
+def test_drift_of_an_order_file(spark, tmp_path):
+    df = readers.read_bronze(spark, put(tmp_path / "raw", "a.csv", "sales,order_date,coupon\n1,2/5/2011,x\n"))
+    drift = schema_drift(spark, readers.text_schema(list(ORDER_FILE_COLUMNS)), df.schema)
+    counts = Counter(r["status"] for r in drift.collect())
+    assert counts == {"same": 3, "added": 1, "missing": len(ORDER_FILE_COLUMNS) - 2}
+
+
 def test_paths_and_run_ids():
     paths = LakePaths("s3a://lake/retail/")
     assert paths.silver == "s3a://lake/retail/silver/orders"
