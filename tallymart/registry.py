@@ -24,7 +24,7 @@ from tallymart.session import scratch_path, written
 from tallymart.sources import readers, writers
 from tallymart.sources.messy import messy_bronze
 from tallymart.sources.paths import LakePaths
-from tallymart.sources.star import good_fact, retail_fact, table
+from tallymart.sources.star import good_fact, order_fact, retail_fact, table
 from tallymart.streaming import events as ev
 from tallymart.streaming.ingest import ingest_available
 
@@ -588,7 +588,7 @@ def dedupe_exact(spark, sf_dir):
 
 @query
 def customer_ltv(spark, sf_dir):
-    return shown(customers.lifetime_value(good_fact(spark, sf_dir)), exact=("avg_order_value",))
+    return shown(customers.lifetime_value(order_fact(spark, sf_dir)), exact=("avg_order_value",))
 
 
 @query

@@ -59,6 +59,20 @@ def _order_side(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame
     return side.join(customers, side.customer_id == customers.c_custkey, "left").drop("c_custkey")
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price, discount = F.col("l_extendedprice"), F.col("l_discount")
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_shipdate").cast("date").alias("ship_date"),
+        F.col("l_quantity").cast("int").alias("quantity_clean"),
+        exact(discount).alias("discount_clean"),
+        exact(price * (1 - discount)).alias("sales_clean"),
+        exact(price * (0.05 - discount)).alias("profit_clean"),
+    )
+
+
 def retail_fact(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
     """One row per order line, with the named dimensions.
 
@@ -70,17 +84,7 @@ def retail_fact(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
     unknown = wanted - PART_DIMS.keys() - CUSTOMER_DIMS.keys() - PLACE_DIMS.keys()
     if unknown:
         raise ValueError(f"unknown dimensions {sorted(unknown)}")
-    price, discount = F.col("l_extendedprice"), F.col("l_discount")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        F.col("l_linenumber").alias("line_number"),
-        F.col("l_shipdate").cast("date").alias("ship_date"),
-        F.col("l_quantity").cast("int").alias("quantity_clean"),
-        exact(discount).alias("discount_clean"),
-        exact(price * (1 - discount)).alias("sales_clean"),
-        exact(price * (0.05 - discount)).alias("profit_clean"),
-    )
+    lines = _lines(spark, sf_dir)
     of_part = _renamed(PART_DIMS, wanted)
     if of_part:
         parts = table(spark, sf_dir, "part").select("p_partkey", *of_part)
@@ -93,5 +97,25 @@ def retail_fact(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
     )
 
 
+def order_fact(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
+    """One row per order with a good line: the fact summed to what customer marts need.
+
+    Lines are summed per order before the join, in each task first, so an order
+    that holds much of the lines never meets in one task.
+    """
+    wanted = set(dims)
+    unknown = wanted - CUSTOMER_DIMS.keys() - PLACE_DIMS.keys()
+    if unknown:
+        raise ValueError(f"not dimensions of an order: {sorted(unknown)}")
+    per_order = (
+        _lines(spark, sf_dir)
+        .where(F.col("sales_clean") > 0)
+        .groupBy("l_orderkey")
+        .agg(F.sum("sales_clean").alias("sales_clean"), F.sum("profit_clean").alias("profit_clean"))
+    )
+    orders = _order_side(spark, sf_dir, wanted).where(F.col("order_date").isNotNull())
+    return per_order.join(orders, per_order.l_orderkey == orders.order_id).drop("l_orderkey")
+
+
 def good_fact(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
     return good_rows(retail_fact(spark, sf_dir, *dims))

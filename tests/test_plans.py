@@ -12,7 +12,7 @@ from tallymart.operators import cleaning, customers, dedupe, profile, quality
 from tallymart.operators import timeseries as ts
 from tallymart.session import written
 from tallymart.sources import writers
-from tallymart.sources.star import good_fact, retail_fact, table
+from tallymart.sources.star import good_fact, order_fact, retail_fact, table
 
 
 def plan(df, final=False):
@@ -67,6 +67,20 @@ def test_fact_rejects_unknown_dimensions(spark, sf_dir):
         retail_fact(spark, sf_dir, "colour")
 
 
+def test_lines_are_summed_per_order_before_the_join(spark, sf_dir):
+    text = plan(customers.lifetime_value(order_fact(spark, sf_dir)))
+    below = text[text.index("Join"):]
+    assert "HashAggregate(keys=[l_orderkey" in below and "partial_sum(sales_clean" in below
+    with pytest.raises(ValueError, match="category"):
+        order_fact(spark, sf_dir, "category")
+
+
+def test_order_grain_keeps_the_totals(spark, sf_dir):
+    by_order = agg.revenue_by(order_fact(spark, sf_dir, "segment", "region"), "segment", "region")
+    by_line = agg.revenue_by(good_fact(spark, sf_dir, "segment", "region"), "segment", "region")
+    assert by_order.exceptAll(by_line).count() == 0 and by_order.count() == by_line.count()
+
+
 def test_fact_scan_is_pruned(spark, sf_dir):
     text = plan(agg.monthly_revenue(good_fact(spark, sf_dir)))
     assert "struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double>" in text
