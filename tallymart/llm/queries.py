@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tallymart.llm.packing import op3_packing
+from tallymart.llm.quality import op9_quality_rules
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
