@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from tallymart.llm.packing import op3_packing
 from tallymart.llm.quality import op9_quality_rules
+from tallymart.llm.simhash import op6_simhash_near_dedup
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
