@@ -4,25 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import packing
-from tallymart.llm.util import shared_folder
+from tallymart.llm import decontaminate, packing, quality, simhash
+from tallymart.llm.util import shared_folder, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go.  The classifier is fitted on labelled rows of ``documents``."""
+    model = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.quality_filter(docs, model)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids and their places in the sequences."""
     return packing.piece_digests(packing.pack_documents(docs))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("packing", pack),
+]
 
-#: Tokenizing, the trained classifier and fingerprint links have no SQL form.
+#: The trained classifier, the fingerprint links and the token ids have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is stored and read back."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = shared_folder(spark, f"pipeline-{name}")
+        path = shared_folder(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from tallymart.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
 from tallymart.llm.packing import op3_packing
 from tallymart.llm.quality import op9_quality_rules
 from tallymart.llm.simhash import op6_simhash_near_dedup
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_benchmark_decontamination": OP5_SQL,
+}
