@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.util import shared_folder
-
-
-def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from tallymart.llm.util import shared_folder, stored
 
 
 def _hooked(pairs: DataFrame, keep: str) -> DataFrame:
@@ -38,7 +32,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     folder = shared_folder(spark, "components")
-    edges = _stored(
+    edges = stored(
         links.where("u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct(),
@@ -59,7 +53,7 @@ def connected_components(links: DataFrame) -> DataFrame:
             .where("u > v")
             .distinct()
         )
-        edges = _stored(small, folder, f"round-{number}")
+        edges = stored(small, folder, f"round-{number}")
         number += 1
         before, state = state, _summary(edges)
         if state == before:

@@ -16,15 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.util import shared_folder, table
+from tallymart.llm.util import broadcast_if_small, shared_folder, stored, table
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
 #: Unlike fingerprint bits up to which every pair is found.  At a similarity of 0.8
 #: about 10 of 64 bits are unlike, with a deviation of 3.
 RADIUS = 20
-#: A side is broadcast only if it was stored and counted to have no more rows.
-BROADCAST_ROWS = 500_000
 
 
 def words(text: Column) -> Column:
@@ -103,17 +101,6 @@ def shingles(word_array: Column, size: int) -> Column:
     return F.slice(runs, F.lit(1), F.greatest(F.size(word_array) - (size - 1), F.lit(0)))
 
 
-def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _broadcast_if_small(stored: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table, to be broadcast if its counted rows are few; else joined by shuffle."""
-    return F.broadcast(stored) if stored.count() <= limit else stored
-
-
 def _with_shingles(df: DataFrame, sizes: list[int], longest: int) -> DataFrame:
     """Adds ``shingles`` and ``fp`` to rows of ``words`` and ``m``, for each shingle size that occurs."""
     parts = []
@@ -152,11 +139,11 @@ def contaminated_texts(
         benchmark.select("item_id", words(F.col("text")).alias("words"))
         .withColumn("m", F.size("words")).where("m > 0").distinct()
     )
-    raw_items = _stored(raw_items, folder, "items")
+    raw_items = stored(raw_items, folder, "items")
     # at most ``size`` values
     lengths = raw_items.select(F.least("m", F.lit(size)).alias("s")).distinct().collect()
     sizes = sorted(r["s"] for r in lengths) or [size]
-    items = _stored(_with_shingles(raw_items, sizes, size), folder, "item-shingles")
+    items = stored(_with_shingles(raw_items, sizes, size), folder, "item-shingles")
 
     keyed = docs.select(
         F.xxhash64(F.col("text").cast("string")).alias("text_key"), F.col("text").cast("string").alias("text")
@@ -170,7 +157,7 @@ def contaminated_texts(
     for s in sizes:
         fits = F.col("m") >= size if s == size else F.col("m") == s
         wanted = items.where(fits).select("m", F.posexplode("codes").alias("off", "code")).distinct()
-        wanted = _broadcast_if_small(_stored(wanted, folder, f"codes-{s}"))
+        wanted = broadcast_if_small(stored(wanted, folder, f"codes-{s}"))
         probes = hashed.where(F.col("n") >= s).select(
             "text_key", "n", F.posexplode(shingle_hashes(F.col("hashes"), s)).alias("pos", "code")
         )
@@ -179,9 +166,9 @@ def contaminated_texts(
     anchors = found[0]
     for part in found[1:]:
         anchors = anchors.unionByName(part)
-    anchors = _stored(anchors.distinct(), folder, "anchors")
+    anchors = stored(anchors.distinct(), folder, "anchors")
 
-    held = _broadcast_if_small(_stored(anchors.select("text_key").distinct(), folder, "texts"))
+    held = broadcast_if_small(stored(anchors.select("text_key").distinct(), folder, "texts"))
     texts = (
         keyed.join(held, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
         .select("text_key", words(F.col("text")).alias("words"))
@@ -190,8 +177,8 @@ def contaminated_texts(
         "text_key", "start", "m", F.slice("words", F.col("start") + 1, F.col("m")).alias("words")
     )
     # a text that is shorter than the item is compared as a whole
-    windows = _stored(windows, folder, "windows")
-    windows = _stored(_with_shingles(windows, sizes, size), folder, "signed")
+    windows = stored(windows, folder, "windows")
+    windows = stored(_with_shingles(windows, sizes, size), folder, "signed")
 
     left = windows.select("text_key", "start", "m", "fp", "shingles", F.inline(blocks(F.col("fp"), radius)))
     right = items.select(
@@ -230,11 +217,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, **limits) -> DataF
     side gives no rows; other columns are ignored.
     """
     folder = shared_folder(docs.sparkSession, "contamination")
-    hits = _stored(contaminated_texts(docs, benchmark, **limits), folder, "hits")
+    hits = stored(contaminated_texts(docs, benchmark, **limits), folder, "hits")
     owners = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key")
     )
-    return owners.join(_broadcast_if_small(hits), "text_key").select(
+    return owners.join(broadcast_if_small(hits), "text_key").select(
         "doc_id", "item_id", "start", "n_words", "similarity"
     )
 
@@ -243,7 +230,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFr
     """The rows of ``docs`` that hold no item, with all their columns; null texts stay."""
     folder = shared_folder(docs.sparkSession, "contamination")
     hits = contaminated_texts(docs, benchmark, **limits).select(F.col("text_key").alias("_key")).distinct()
-    hits = _broadcast_if_small(_stored(hits, folder, "keys"))
+    hits = broadcast_if_small(stored(hits, folder, "keys"))
     return docs.join(hits, F.xxhash64(F.col("text").cast("string")) == F.col("_key"), "left_anti")
 
 

@@ -7,6 +7,7 @@ from tallymart.llm.packing import op3_packing
 from tallymart.llm.quality import op9_quality_rules
 from tallymart.llm.sharding import op8_hilbert_sharding
 from tallymart.llm.simhash import op6_simhash_near_dedup
+from tallymart.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op3_packing": op3_packing,
@@ -14,8 +15,10 @@ QUERIES = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_quality_rules": op9_quality_rules,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op5_benchmark_decontamination": OP5_SQL,
+    "op10_warc": OP10_SQL,
 }

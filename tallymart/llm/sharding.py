@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.util import shared_folder, table
+from tallymart.llm.util import shared_folder, stored, table
 
 SHARDS = 8
 BITS = 4
@@ -104,12 +104,6 @@ def hilbert_index(codes: list[Column], bits: int) -> Column:
     return whole[0]
 
 
-def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def hilbert_shards(
     rows: DataFrame,
     dimensions: dict[str, Column],
@@ -135,10 +129,10 @@ def hilbert_shards(
     for code in codes:
         cell = cell * (1 << bits) + code
     part = F.pmod(F.xxhash64(*kept), F.lit(parts)).cast("int")
-    placed = _stored(rows.select(*kept, cell.cast("int").alias("_cell"), part.alias("_part")), folder, "placed")
+    placed = stored(rows.select(*kept, cell.cast("int").alias("_cell"), part.alias("_part")), folder, "placed")
 
     # at most 2 ** (bits * dimensions) cells of at most ``parts`` parts, whatever the rows
-    counts = _stored(placed.groupBy("_cell", "_part").agg(F.count("*").alias("_n")), folder, "counts")
+    counts = stored(placed.groupBy("_cell", "_part").agg(F.count("*").alias("_n")), folder, "counts")
     in_cell = Window.partitionBy("_cell").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     part_start = counts.select(
         "_cell", "_part", F.coalesce(F.sum("_n").over(in_cell), F.lit(0)).alias("_part_start")
@@ -152,7 +146,7 @@ def hilbert_shards(
         "_cell", "curve_index", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_cell_start"),
         F.sum("_n").over(Window.partitionBy()).alias("_total"),
     )
-    starts = _stored(part_start.join(cell_start, "_cell"), folder, "starts")
+    starts = stored(part_start.join(cell_start, "_cell"), folder, "starts")
 
     in_part = Window.partitionBy("_cell", "_part").orderBy(*kept)
     ranked = placed.withColumn("_rank", F.row_number().over(in_part) - 1)

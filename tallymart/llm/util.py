@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymart.session import scratch_path
 
@@ -57,3 +58,19 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
 
 def _plain(path: str) -> str:
     return "/" + path.removeprefix("file:").lstrip("/")
+
+
+#: A side is broadcast only if it was stored and counted to have no more rows.
+BROADCAST_ROWS = 500_000
+
+
+def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: short lineage, and no step runs twice."""
+    path = f"{folder}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table, to be broadcast if its counted rows are few; else joined by shuffle."""
+    return F.broadcast(table) if table.count() <= limit else table
