@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallymart.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
+from tallymart.llm.lm import op7_lm_scoring
 from tallymart.llm.packing import op3_packing
 from tallymart.llm.quality import op9_quality_rules
 from tallymart.llm.sharding import op8_hilbert_sharding
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
