@@ -8,9 +8,11 @@ from tallymart.llm.packing import op3_packing
 from tallymart.llm.quality import op9_quality_rules
 from tallymart.llm.sharding import op8_hilbert_sharding
 from tallymart.llm.simhash import op6_simhash_near_dedup
+from tallymart.llm.urlgraph import op1_url_filter
 from tallymart.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op3_packing": op3_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
