@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallymart.llm.chat import OP2_SQL, op2_chat_format
 from tallymart.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
 from tallymart.llm.lm import op7_lm_scoring
 from tallymart.llm.packing import op3_packing
@@ -13,6 +14,7 @@ from tallymart.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_chat_format": op2_chat_format,
     "op3_packing": op3_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_chat_format": OP2_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
     "op10_warc": OP10_SQL,
 }
