@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallymart.llm.chat import OP2_SQL, op2_chat_format
 from tallymart.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
+from tallymart.llm.html_text import op4_html_extraction
 from tallymart.llm.lm import op7_lm_scoring
 from tallymart.llm.packing import op3_packing
 from tallymart.llm.quality import op9_quality_rules
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
     "op3_packing": op3_packing,
+    "op4_html_extraction": op4_html_extraction,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_lm_scoring": op7_lm_scoring,
