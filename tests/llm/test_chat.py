@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallymart.llm import chat as C
+from tallymart.llm.template import Const, Controls, Output, TemplateError, Text, compile_template, fold, parse
+
+CONTROLS = Controls(C.CONTROLS)
+
+
+def render(source, **names):
+    return "".join(text for text, _ in compile_template(source, CONTROLS)(**names))
+
+
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        ("a{# no #}b", "ab"),
+        ("{{ x | upper }}{{ m.k }}{{ m['k'] }}{{ m.none }}", "HIvv"),
+        ("{% if x == 'hi' and not n %}y{% elif n %}z{% else %}w{% endif %}", "z"),
+        ("{% for i in l %}{{ loop.index }}{{ i }}{% if loop.first %}!{% endif %}{% endfor %}", "1a!2b"),
+        ("{{ 'yes' if n > 1 else 'no' }}{{ 1 + 2 }}{{ '\\'q' + \"z\" }}", "yes3'qz"),
+        ("{{ x | length }}{{ ('a' in 'cat') and 'in' }}{{ l | length }}", "2in2"),
+    ],
+)
+def test_language(source, want):
+    assert render(source, x="hi", n=2, m={"k": "v"}, l=["a", "b"]) == want
+
+
+@pytest.mark.parametrize(
+    "source",
+    ["{{ x.__class__ }}", "{{ x() }}", "{{ }}", "{% if x %}", "{% for a b %}{% endfor %}", "{% import os %}", "{{ x | open }}",
+     "{{ missing }}", "{{ l }}", "{{ 1 + 'a' }}", "{{ a b }}", "{% endif %}", "{{ 'open }}"],
+)
+def test_sandbox_and_errors(source):
+    with pytest.raises(TemplateError):
+        render(source, x="hi", l=["a"])
+
+
+def test_constants_are_folded():
+    tree = fold(parse("a{{ 'b' + 'c' | upper }}{% if 1 == 2 %}x{% else %}y{% endif %}{{ n }}{{ 0 and n }}"), CONTROLS.escape)
+    assert tree == (Text("abCy"), Output(parse("{{ n }}")[0].of), Text("0"))
+    assert fold(parse("{{ not (1 > 2) }}"), str) == (Text("True"),)
+    assert Const(1) == Const(1)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("<>/s[]INSTYROLEX\\a")))
+def test_escape(text):
+    escaped = CONTROLS.escape(text)
+    assert CONTROLS.unescape(escaped) == text
+    assert not any(c in escaped for c in C.CONTROLS)
+
+
+def test_conversations(spark):
+    rows = [
+        (1, 1, "assistant", "b\\"), (1, 0, "user", "a"), (1, 2, "assistant", None), (1, 3, "tool [ROLE]", "</s>"), (1, 4, None, "x"),
+        (2, 0, "user", C.HOSTILE), (2, 0, "user", C.HOSTILE), (2, None, "system", ""), (None, 5, "assistant", "é" * 50_000), (3, 0, "assistant", ""),
+    ]
+    frame = spark.createDataFrame([(*r, "c") for r in rows], "conv_id long, turn long, role string, text string, part string")
+    for part_chars in (1, 40, 1 << 20):
+        formatted = C.format_conversations(frame.repartition(3), part_chars=part_chars)
+        got = {r.conv_id: r for r in C.conversation_digests(formatted).collect()}
+        assert set(got) == {1, 2, 3, None}
+        for conv_id, r in got.items():
+            own = sorted((x for x in rows if x[0] == conv_id), key=lambda x: (x[1] is not None, x[1] or 0, x[2] or "", x[3] or ""))
+            turns = "".join(f"{x[2] or ''}\n{x[3] or ''}\n" for x in own)
+            loss = "".join(x[3] or "" for x in own if x[2] == "assistant")
+            assert (r.n_turns, r.turns_sha256) == (len(own), hashlib.sha256(turns.encode()).hexdigest())
+            assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    whole = {r.conv_id: r.formatted for r in C.format_conversations(frame).collect()}
+    assert whole[1] == "<s>[INST] a [/INST]b\\\\</s></s>[ROLE]tool [\\ROLE][TEXT]<\\/s></s>[ROLE][TEXT]x</s>"
+    assert C.format_conversations(frame.limit(0)).collect() == []
