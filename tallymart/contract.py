@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import types as T
 
@@ -26,6 +27,10 @@ MAX_BAD_FRACTION = 0.05
 class OrderContract:
     """Roles of the bronze columns.
 
+    Dates are read in an ISO form and in ``date_formats``, in that order if
+    ``iso_first``.  A row dated outside ``date_range`` (both ends included) is a
+    reject and goes to quarantine.
+
     ``date_columns`` beyond ``order_date``, ``dimensions`` and the optional
     measures are used where the file has them.
     """
@@ -38,6 +43,9 @@ class OrderContract:
     quantities: tuple[str, ...] = ("quantity",)
     date_columns: tuple[str, ...] = ("order_date", "ship_date")
     dimensions: tuple[str, ...] = ("category",)
+    date_formats: tuple[str, ...] = ("M/d/yyyy",)
+    iso_first: bool = True
+    date_range: tuple[date, date] | None = None
 
 
 # Column names of the wide order file after normalisation.

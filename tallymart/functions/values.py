@@ -12,6 +12,9 @@ WHITE_SPACE = " \t\n\v\f\r"
 MONEY_NOISE = "$₹€£," + WHITE_SPACE
 QUANTITY_NOISE = "," + WHITE_SPACE
 
+# What counts as an ISO date: a bare number such as a year or a row id does not.
+ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
+
 # Fixed value: the date pattern known besides the ISO forms.
 DATE_FORMATS = ("M/d/yyyy",)
 
@@ -38,12 +41,15 @@ def parse_date(
 ) -> Column:
     """A date in an ISO form or in the first of ``formats`` that fits, else NULL.
 
+    A bare number is never a date: it must have the ISO form's dashes.  A year
+    of two digits (``yy``) is one of 2000 to 2099.
+
     Text in another form costs the ISO attempt little but a pattern an
     exception, so ISO goes first; turn that off for a pattern such as
     ``yyyy-dd-MM`` that an ISO date could be mistaken for.
     """
     trimmed = blank_to_null(text.cast("string"))
-    iso = trimmed.try_cast("date")
+    iso = F.when(F.regexp_like(trimmed, F.lit(ISO_DATE)), trimmed.try_cast("date"))
     patterns = [F.try_to_date(trimmed, f) for f in formats]
     return F.coalesce(*([iso, *patterns] if iso_first else [*patterns, iso]))
 

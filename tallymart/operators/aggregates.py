@@ -138,16 +138,34 @@ def ranked_values(series: DataFrame, dim: str, n: int = 8) -> DataFrame:
 
 
 def pivot_months(
-    series: DataFrame, dim: str, values: list, fill: float | None = 0
+    series: DataFrame, dim: str, values: list, fill: float | None = 0, rest: str = "other"
 ) -> DataFrame:
-    """One row per month, one summed column per listed value.
+    """One row per month, one summed column per listed value, and ``rest`` for all others.
 
-    Values are named by the caller, so no job runs to discover them.
+    Values are named by the caller, so no job runs to discover them.  The rest
+    holds unlisted and NULL keys: the columns of a row always add up to the month's total.
     """
-    wide = series.groupBy("date").pivot(dim, values).agg(F.sum("revenue"))
-    return wide if fill is None else wide.select(
-        "date", *[F.coalesce(F.col(f"`{v}`"), F.lit(fill)).alias(str(v)) for v in values]
-    )
+    if rest in map(str, values):
+        raise ValueError(f"{rest!r} is a value; name the rest column otherwise")
+    key = F.col(dim)
+    listed = F.coalesce(key.isin(list(values)), F.lit(False)) if values else F.lit(False)
+    tests = {str(v): key == v for v in values} | {rest: ~listed}
+    sums = {name: F.sum(F.when(test, F.col("revenue"))) for name, test in tests.items()}
+    filled = {n: c if fill is None else F.coalesce(c, F.lit(fill)) for n, c in sums.items()}
+    return series.groupBy("date").agg(*[c.alias(n) for n, c in filled.items()])
+
+
+def pivot_occurring(series: DataFrame, dim: str, most: int = 1_000) -> DataFrame:
+    """``pivot_months`` over the values that occur.
+
+    Reads the series twice, the first time for its values: pass a stored one.
+    A key with more than ``most`` values is an error, never a cut list: such a
+    series stays in its long form.
+    """
+    found = series.select(dim).where(F.col(dim).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{dim} has more than {most} values; keep the long form")
+    return pivot_months(series, dim, sorted(r[0] for r in found))
 
 
 def pivot_top(series: DataFrame, dim: str, n: int = 8) -> DataFrame:
@@ -156,9 +174,10 @@ def pivot_top(series: DataFrame, dim: str, n: int = 8) -> DataFrame:
     The ranking runs first and the pivot is over ranks, so only the kept values
     are pivoted and no value list travels through the driver.  Months in which
     none of them sold stay, with zeros.  Reads the series twice: pass a stored
-    one.
+    one.  A NULL key that ranks has its column like any other.
     """
-    ranked = series.join(ranked_values(series, dim, n), dim, "left")
+    ranks = ranked_values(series, dim, n).withColumnRenamed(dim, "_value")
+    ranked = series.join(ranks, F.col(dim).eqNullSafe(F.col("_value")), "left")
     columns = [
         F.coalesce(F.sum(F.when(F.col("rank") == k, F.col("revenue"))), F.lit(0)).alias(f"rank_{k}")
         for k in range(1, n + 1)

@@ -43,7 +43,7 @@ def clean_orders(
     def among(columns: tuple[str, ...]) -> list[str]:
         return [c for c in columns if c in present]
 
-    typed = {c: V.parse_date(F.col(c)) for c in among(contract.date_columns)}
+    typed = {c: V.parse_date(F.col(c), contract.date_formats, contract.iso_first) for c in among(contract.date_columns)}
     typed |= {f"{c}_clean": V.money(F.col(c)) for c in among(contract.money)}
     typed |= {f"{c}_clean": V.quantity(F.col(c)) for c in among(contract.quantities)}
     return df.withColumns(typed)

@@ -46,7 +46,10 @@ def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def reject_reasons(
-    columns: list[str], date: str = "order_date", amount: str = "sales_clean"
+    columns: list[str],
+    date: str = "order_date",
+    amount: str = "sales_clean",
+    date_range: tuple | None = None,
 ) -> Column:
     """Names of the rules a row breaks; empty for a good row."""
     rules = {
@@ -54,16 +57,22 @@ def reject_reasons(
         "missing_sales": F.col(amount).isNull(),
         "non_positive_sales": F.col(amount) <= 0,
     }
+    if date_range is not None:
+        first, last = map(F.lit, date_range)
+        rules["order_date_out_of_range"] = ~F.col(date).between(first, last)
     if CORRUPT in columns:
         rules["corrupt_record"] = F.col(CORRUPT).isNotNull()
     return F.array_compact(F.array(*[F.when(broken, name) for name, broken in rules.items()]))
 
 
 def classify(
-    df: DataFrame, date: str = "order_date", amount: str = "sales_clean"
+    df: DataFrame,
+    date: str = "order_date",
+    amount: str = "sales_clean",
+    date_range: tuple | None = None,
 ) -> DataFrame:
     """``df`` with the rules each row breaks.  A row of the wrong width is a reject."""
-    return df.withColumn(REASONS, reject_reasons(df.columns, date, amount))
+    return df.withColumn(REASONS, reject_reasons(df.columns, date, amount, date_range))
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ bounded by the calendar, whatever the size of the data below.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,13 +34,22 @@ def month_calendar(series: DataFrame) -> DataFrame:
     )
 
 
-def on_calendar(series: DataFrame, calendar: DataFrame) -> DataFrame:
-    """One row per calendar month; months without a row have revenue 0."""
+def on_calendar(series: DataFrame, calendar: DataFrame, *keys: str) -> DataFrame:
+    """One row per key and calendar month; months without a row have revenue 0.
+
+    With keys the months reach each key as one array (a calendar has a row per
+    month), so keys and months are paired without a cross join.  Pass stored tables.
+    """
     revenue = F.coalesce("revenue", _zero(series, "revenue"))
-    return calendar.join(series.select("date", "revenue"), "date", "left").select(
-        "date",
-        F.year("date").alias("year"),
-        F.month("date").alias("month"),
+    if keys:
+        months = calendar.agg(F.array_sort(F.collect_set("date"))).scalar()
+        calendar = series.select(*keys).distinct().withColumn("date", F.explode(months))
+    same = [calendar["date"] == series["date"], *[calendar[k].eqNullSafe(series[k]) for k in keys]]
+    return calendar.join(series, reduce(and_, same), "left").select(
+        calendar["date"],
+        F.year(calendar["date"]).alias("year"),
+        F.month(calendar["date"]).alias("month"),
+        *[calendar[k] for k in keys],
         revenue.alias("revenue"),
     )
 

@@ -318,6 +318,16 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(line_number AS VARCHAR) AS line_number, "
         f"{_iso('date_clean')} AS order_date, {_iso('ship_date')} AS ship_date FROM clean",
     ),
+    "parse_dates_mixed": """
+      WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderkey % 7 AS kind FROM orders)
+      SELECT o_orderkey,
+        CASE kind WHEN 0 THEN strftime(d, '%Y-%m-%d') WHEN 1 THEN strftime(d, '%-m/%-d/%Y 0:00')
+          WHEN 2 THEN strftime(d, '%d-%m-%Y') WHEN 3 THEN strftime(d, '%-d-%b-%Y')
+          WHEN 4 THEN strftime(d, '%-m/%-d/%y') WHEN 5 THEN strftime(d, '%Y')
+          ELSE lpad(CAST(dayofyear(d) AS VARCHAR), 5, '3') END AS spelt,
+        CASE WHEN kind = 4 THEN strftime(make_date(2000 + year(d) % 100, month(d), day(d)), '%Y-%m-%d')
+          WHEN kind < 4 THEN strftime(d, '%Y-%m-%d') END AS parsed
+      FROM o""",
     "standardize_dims": _with(
         "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(line_number AS VARCHAR) AS line_number, "
         "lower(category) AS category, lower(country) AS country_market FROM fact"
@@ -464,8 +474,19 @@ ORACLES: dict[str, str] = {
             f"coalesce(CAST(sum(sales) FILTER (category = '{v}') AS DOUBLE), 0) AS \"{v}\""
             for v in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
         )
+        + ", coalesce(CAST(sum(sales) FILTER (category IS NULL OR category NOT IN "
+        "('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')) AS DOUBLE), 0) AS other"
         + " FROM good GROUP BY month_start"
     ),
+    "category_pivot_all": _with(
+        f"SELECT {_iso('month_start')} AS date, "
+        + ", ".join(
+            f"coalesce(CAST(sum(sales) FILTER (category = '{v}') AS DOUBLE), 0) AS \"{v}\""
+            for v in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+        )
+        + ", coalesce(CAST(sum(sales) FILTER (category IS NULL) AS DOUBLE), 0) AS other, "
+        "CAST(sum(sales) AS DOUBLE) AS total FROM good GROUP BY month_start"
+    ),
     "category_pivot_top8": _with(
         _series("country"),
         _ranked("country"),
@@ -479,14 +500,19 @@ ORACLES: dict[str, str] = {
         f"SELECT {_iso('date')} AS date, rank, country, revenue FROM top_series",
     ),
     "gap_filled_months": _with(
-        _series(where="sales >= 104500"), _filled(), _period_rows("filled")
+        _series("category", "sub_category", "country"),
+        _filled("category", "sub_category", "country"),
+        _period_rows("filled", "category", "sub_category", "country"),
     ),
     "calendar_join": _with(
-        _series(where="sales >= 104500"),
-        """, months AS (SELECT DISTINCT month_start AS date FROM good), filled AS (
-        SELECT m.date, year(m.date) AS year, month(m.date) AS month, coalesce(revenue, 0) AS revenue
-        FROM months m LEFT JOIN series s ON m.date = s.date) """,
-        _period_rows("filled"),
+        _series("sub_category", "country"),
+        """, months AS (SELECT DISTINCT month_start AS date FROM good),
+        keys AS (SELECT DISTINCT sub_category, country FROM series), filled AS (
+        SELECT m.date, year(m.date) AS year, month(m.date) AS month, k.sub_category, k.country,
+          coalesce(revenue, 0) AS revenue
+        FROM keys k CROSS JOIN months m LEFT JOIN series s ON m.date = s.date
+          AND s.sub_category IS NOT DISTINCT FROM k.sub_category AND s.country IS NOT DISTINCT FROM k.country) """,
+        _period_rows("filled", "sub_category", "country"),
     ),
     "gap_filled_by_category": _with(
         _series("sub_category", "country"),

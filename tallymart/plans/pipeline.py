@@ -108,7 +108,8 @@ def process(
             },
         )
 
-    classified = classify(clean_orders(bronze, options.contract, options.names))
+    cleaned = clean_orders(bronze, options.contract, options.names)
+    classified = classify(cleaned, date_range=options.contract.date_range)
     folder = scratch_path(spark, f"run-{run_id}")
     try:
         staged = _stage(classified, folder)

@@ -8,13 +8,15 @@ double, whole numbers as bigint, derived doubles rounded.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.contract import MAX_BAD_FRACTION, gold_schema
-from tallymart.functions import measures, naming
+from tallymart.functions import measures, naming, values
 from tallymart.operators import aggregates as agg
 from tallymart.operators import cleaning, customers, dedupe, profile, quality
 from tallymart.operators import timeseries as ts
@@ -142,6 +144,18 @@ def parse_dates(spark, sf_dir):
     return shown(parsed.select("order_id", "line_number", "order_date", "ship_date"))
 
 
+@query
+def parse_dates_mixed(spark, sf_dir):
+    """Seven spellings of a date by order; bare numbers are not dates."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    spellings = ("yyyy-MM-dd", "M/d/yyyy H:mm", "dd-MM-yyyy", "d-MMM-yyyy", "M/d/yy", "yyyy", "D")
+    kind = F.pmod("o_orderkey", F.lit(len(spellings)))
+    spelt = F.coalesce(*[F.when(kind == i, F.date_format("d", f)) for i, f in enumerate(spellings)])
+    raw = orders.withColumn("spelt", F.when(kind == 6, F.lpad(spelt, 5, "3")).otherwise(spelt))
+    parsed = raw.withColumn("parsed", values.parse_date(F.col("spelt"), spellings[1:5]))
+    return shown(parsed.select("o_orderkey", "spelt", "parsed"))
+
+
 @query
 def standardize_dims(spark, sf_dir):
     padded = naming.normalize_columns(messy_bronze(spark, sf_dir))
@@ -447,6 +461,15 @@ def category_pivot(spark, sf_dir):
     return shown(agg.pivot_months(_series_by(spark, sf_dir, "category"), "category", kinds))
 
 
+@query
+def category_pivot_all(spark, sf_dir):
+    """Over the values that occur; the last column checks that nothing is left out."""
+    series = _stored_series_by(spark, sf_dir, "category")
+    wide = agg.pivot_occurring(series, "category")
+    parts = [F.col(f"`{c}`") for c in wide.columns if c != "date"]
+    return shown(wide.withColumn("total", reduce(add, parts)))
+
+
 @query
 def category_pivot_top8(spark, sf_dir):
     return shown(agg.pivot_top(_stored_series_by(spark, sf_dir, "country"), "country"))
@@ -460,20 +483,20 @@ def category_series_top8(spark, sf_dir):
 # -- time series -----------------------------------------------------------------------
 
 
-def _large_sales_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    large = good_fact(spark, sf_dir).where(F.col("sales_clean") >= 104_500)
-    return agg.to_series(agg.monthly_revenue(large))
-
-
 @query
 def gap_filled_months(spark, sf_dir):
-    return shown(ts.fill_months(_large_sales_series(spark, sf_dir)))
+    """Every category x brand x country series: sparse, so most have gaps."""
+    keys = ("category", "sub_category", "country")
+    return shown(ts.fill_months(_series_by(spark, sf_dir, *keys), *keys))
 
 
 @query
 def calendar_join(spark, sf_dir):
-    calendar = ts.month_calendar(_total_series(spark, sf_dir))
-    return shown(ts.on_calendar(_large_sales_series(spark, sf_dir), calendar))
+    """Every brand x country series on the calendar of the whole fact."""
+    keys = ("sub_category", "country")
+    series = _stored_series_by(spark, sf_dir, *keys)
+    calendar = written(ts.month_calendar(series), "calendar")
+    return shown(ts.on_calendar(series, calendar, *keys))
 
 
 @query

@@ -14,14 +14,14 @@ MIB = 1024 * 1024
 ADVISORY_BYTES = 128 * MIB
 
 
-def shuffle_width(input_bytes: int, floor: int = 200, ceiling: int = 50_000) -> int:
-    """Initial shuffle partitions for an input size; AQE merges what is too small."""
-    return max(floor, min(ceiling, math.ceil(input_bytes / ADVISORY_BYTES)))
+def shuffle_width(shuffle_bytes: int, floor: int = 200) -> int:
+    """Initial shuffle partitions, one for each 128 MiB; AQE merges what is too small."""
+    return max(floor, math.ceil(shuffle_bytes / ADVISORY_BYTES))
 
 
-def split_size(input_bytes: int, tasks: int = 200_000) -> int:
-    """Scan split for an input size: 128 MiB, up to 512 MiB to bound the task count."""
-    return max(ADVISORY_BYTES, min(4 * ADVISORY_BYTES, math.ceil(input_bytes / tasks)))
+def split_size(input_bytes: int, tasks: int | None = None) -> int:
+    """Scan split for an input size: 128 MiB, or more if the caller bounds the task count."""
+    return max(ADVISORY_BYTES, math.ceil(input_bytes / tasks) if tasks else 0)
 
 
 def build_session(

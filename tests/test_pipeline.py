@@ -151,11 +151,12 @@ def test_written_reads_back(spark):
 
 def test_shuffle_width():
     assert shuffle_width(0) == 200
-    assert shuffle_width(10 * 1024**4) == 50_000
+    assert shuffle_width(100 * 1024**4) == 819_200
     assert shuffle_width(128 * 1024**2 * 1000) == 1000
 
 
 def test_split_size():
     mib = 1024**2
     assert split_size(0) == 128 * mib
-    assert split_size(100 * 1024**4) == 512 * mib
+    assert split_size(100 * 1024**4) == 128 * mib
+    assert split_size(100 * 1024**4, tasks=200_000) == 100 * 1024**4 // 200_000 + 1

@@ -140,13 +140,26 @@ def test_latest_top_ignores_older_months(spark):
 def test_pivots(spark):
     df = keyed(spark, {("a", 0): 1.0, ("b", 0): 5.0, ("a", 1): 2.0, ("c", 2): 0.5})
     wide = agg.pivot_months(df, "k", ["a", "b"]).orderBy("date").collect()
-    assert [tuple(r)[1:] for r in wide] == [(1.0, 5.0), (2.0, 0.0), (0.0, 0.0)]
+    assert [tuple(r)[1:] for r in wide] == [(1.0, 5.0, 0.0), (2.0, 0.0, 0.0), (0.0, 0.0, 0.5)]
     top = agg.pivot_top(df, "k", 2).orderBy("date").collect()
     assert [tuple(r)[1:] for r in top] == [(5.0, 1.0), (0.0, 2.0), (0.0, 0.0)]
     long = agg.top_series(df, "k", 2)
     assert long.count() == 6 and long.where("rank = 1 and k = 'b'").count() == 3
 
 
+def test_pivots_lose_no_key(spark):
+    df = keyed(spark, {("a", 0): 5.0, (None, 0): 9.0, ("b", 0): 3.0, ("c", 1): 1.0})
+    wide = agg.pivot_months(df, "k", ["a"]).orderBy("date").collect()
+    assert [tuple(r)[1:] for r in wide] == [(5.0, 12.0), (0.0, 1.0)]
+    assert [tuple(r)[1:] for r in agg.pivot_occurring(df, "k").orderBy("date").collect()] == [(5.0, 3.0, 0.0, 9.0), (0.0, 0.0, 1.0, 0.0)]
+    assert [tuple(r)[1:] for r in agg.pivot_top(df, "k", 2).orderBy("date").collect()] == [(9.0, 5.0), (0.0, 0.0)]
+    assert agg.top_series(df, "k", 2).where("rank = 1 and k is null and revenue = 9").count() == 1
+    with pytest.raises(ValueError):
+        agg.pivot_occurring(df, "k", most=2)
+    with pytest.raises(ValueError):
+        agg.pivot_months(df, "k", ["other"])
+
+
 def test_shares_sum_to_one(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 2.0)], "k string, sales_clean double")
     shares = agg.revenue_share(agg.revenue_by(df, "k"))

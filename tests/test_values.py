@@ -38,6 +38,12 @@ def test_dates(spark):
     expected = [date(2011, 2, 5), date(2011, 2, 5), date(2012, 12, 31), date(2011, 2, 5)] + [None] * 4
     assert one(spark, V.parse_date, texts) == expected
     assert one(spark, lambda c: V.parse_date(c, ("dd.MM.yyyy",)), ["31.12.2012"]) == [date(2012, 12, 31)]
+    numbers = ["32298", "2015", "20150102", "2015-01", "12-2015-01", "+2015-01-02"]
+    assert one(spark, V.parse_date, numbers) == [None] * 6
+    mixed = ("M/d/yyyy H:mm", "dd-MM-yyyy", "d-MMM-yyyy", "M/d/yy")
+    spelt = ["1/1/2011 0:00", "31-07-2012", "5-Jan-2015", "2/5/11", "2011"]
+    wanted = [date(2011, 1, 1), date(2012, 7, 31), date(2015, 1, 5), date(2011, 2, 5), None]
+    assert one(spark, lambda c: V.parse_date(c, mixed), spelt) == wanted
     flipped = one(spark, lambda c: V.parse_date(c, ("yyyy-dd-MM",), iso_first=False), ["2012-03-04", "2012-01-31"])
     assert flipped == [date(2012, 4, 3), date(2012, 1, 31)]
 
