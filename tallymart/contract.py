@@ -74,6 +74,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("status", T.StringType(), False),
         T.StructField("started_at", T.TimestampType(), False),
         T.StructField("finished_at", T.TimestampType(), False),
+        T.StructField("row_duplicate", T.LongType(), True),
     ]
 )
 

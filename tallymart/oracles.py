@@ -413,6 +413,23 @@ ORACLES: dict[str, str] = {
         "FROM kept GROUP BY year",
     ),
     "incremental_ingest": SILVER_GOLD,
+    "mixed_header_ingest": SILVER_GOLD,
+    "ingest_redelivered_file": _with(
+        CLEAN,
+        f"SELECT year, month, {_total('sales_clean')} AS total_sales FROM (SELECT *, row_number() OVER ("
+        "PARTITION BY order_id, line_number ORDER BY sales_clean DESC) AS n FROM kept) "
+        "WHERE n = 1 GROUP BY year, month",
+    ),
+    "audit_after_replay": _with(
+        CLEAN,
+        "SELECT 'again' AS run_id, 'SUCCEEDED' AS status, count(*) AS row_in, "
+        "count_if(fault >= 4) AS row_good, CAST(0 AS BIGINT) AS row_duplicate FROM clean",
+    ),
+    "batch_pipeline_aborted": _with(
+        CLEAN,
+        "SELECT 'stopped' AS run_id, 'ABORTED' AS status, count_if(fault < 4) AS row_bad, "
+        "count_if(fault < 4) AS quarantined, false AS silver FROM clean",
+    ),
     "monthly_revenue": _monthly(),
     "monthly_revenue_by_category": _monthly("category"),
     "monthly_revenue_by_region": _monthly("region"),

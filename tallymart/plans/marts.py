@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.contract import gold_schema
+from tallymart.contract import AUDIT_SCHEMA, gold_schema
 from tallymart.operators.aggregates import monthly_revenue, roll_up
 from tallymart.sources.paths import LakePaths
 from tallymart.sources.readers import read_optional
@@ -88,4 +88,4 @@ def save_tables(
 
 def audit_log(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """All runs, newest first."""
-    return spark.read.parquet(paths.audit).orderBy(F.desc("finished_at"), "run_id")
+    return spark.read.schema(AUDIT_SCHEMA).parquet(paths.audit).orderBy(F.desc("finished_at"), "run_id")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallymart.contract import MAX_BAD_FRACTION, METRICS_SCHEMA, OrderContract
 from tallymart.operators.cleaning import clean_orders, silver_columns
-from tallymart.operators.dedupe import dedupe_exact
+from tallymart.operators.dedupe import dedupe_exact, dedupe_latest
 from tallymart.operators.quality import (
     QualityGateError,
     REASONS,
@@ -20,18 +20,21 @@ from tallymart.operators.quality import (
     classify,
 )
 from tallymart.plans.marts import MARTS, available_marts, base_aggregate, mart_tables
-from tallymart.session import remove_path, scratch_path, written
+from tallymart.session import remove_path, written
 from tallymart.sources import writers
 from tallymart.sources.paths import LakePaths, new_run_id
-from tallymart.sources.readers import CORRUPT, read_bronze
+from tallymart.sources.readers import CORRUPT, read_bronze, read_optional
 
 STAGE_FLAG = "_accepted"
 
 
 @dataclass(frozen=True)
 class RunOptions:
-    """``drop_duplicates`` removes equal rows among the good ones; ``export``
-    adds one sorted CSV file per mart and one for the run's metrics;
+    """``drop_duplicates`` removes equal rows among the good ones.  With
+    ``business_keys`` a key has one row: within a run the first in the order of
+    ``latest_first`` (columns, the largest value first), over batches the one
+    that was published first, looked for in the months that the batch touches.
+    ``export`` adds one sorted CSV file per mart and one for the run's metrics;
     ``silver_csv`` adds silver as CSV."""
 
     job_name: str = "retail_batch"
@@ -41,6 +44,8 @@ class RunOptions:
     names: str = "snake"
     max_bad_fraction: float = MAX_BAD_FRACTION
     drop_duplicates: bool = False
+    business_keys: tuple[str, ...] = ()
+    latest_first: tuple[str, ...] = ("order_date", "sales_clean")
     marts: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(MARTS))
     export: bool = False
     silver_csv: bool = False
@@ -91,8 +96,8 @@ def process(
     spark = bronze.sparkSession
     started = datetime.now(timezone.utc)
 
-    def audit(status: str, metrics: RunMetrics) -> None:
-        writers.append_audit(
+    def audit(status: str, metrics: RunMetrics, duplicates: int | None = None) -> None:
+        writers.write_audit(
             spark,
             paths.audit,
             {
@@ -105,12 +110,14 @@ def process(
                 "status": status,
                 "started_at": started,
                 "finished_at": datetime.now(timezone.utc),
+                "row_duplicate": duplicates,
             },
         )
 
     cleaned = clean_orders(bronze, options.contract, options.names)
     classified = classify(cleaned, date_range=options.contract.date_range)
-    folder = scratch_path(spark, f"run-{run_id}")
+    folder = paths.staging(f"run-{run_id}")
+    metrics = RunMetrics(0, 0)
     try:
         staged = _stage(classified, folder)
         metrics = _stage_metrics(staged)
@@ -126,8 +133,15 @@ def process(
         if options.drop_duplicates:
             good = dedupe_exact(good)
         silver = silver_columns(good, options.contract)
-        marts = _publish(silver, paths, options, folder, batch_id)
-        audit("SUCCEEDED", metrics)
+        if options.business_keys:
+            silver = _one_per_key(silver, paths, options, batch_id)
+        marts, published = _publish(silver, paths, options, folder, batch_id)
+        audit("SUCCEEDED", metrics, metrics.row_good - published)
+    except QualityGateError:
+        raise
+    except Exception:
+        audit("FAILED", metrics)
+        raise
     finally:
         remove_path(spark, folder)
     if options.export:
@@ -135,13 +149,33 @@ def process(
     return RunResult(run_id, "SUCCEEDED", metrics, tuple(marts))
 
 
+def _one_per_key(
+    silver: DataFrame, paths: LakePaths, options: RunOptions, batch_id: str | None
+) -> DataFrame:
+    keys = list(options.business_keys)
+    rest = sorted(set(silver.columns) - set(keys) - set(options.latest_first))
+    order = [F.desc_nulls_last(c) for c in options.latest_first if c in silver.columns]
+    silver = dedupe_latest(silver, keys, [*order, *rest])
+    if batch_id is None:
+        return silver
+    kinds = {f.name: f for f in silver.schema}
+    period = [k for k in writers.PERIOD if k not in keys]
+    schema = T.StructType([*[kinds[k] for k in [*keys, *period]], T.StructField("batch_id", T.StringType())])
+    before = read_optional(silver.sparkSession, paths.silver_batches, schema)
+    if before is None:
+        return silver
+    others = before.where(F.col("batch_id") != batch_id).select(*keys, *period)
+    return silver.join(others, [*keys, *period], "left_anti")
+
+
 def _publish(
     silver: DataFrame,
     paths: LakePaths,
     options: RunOptions,
     folder: str,
     batch_id: str | None,
-) -> list[str]:
+) -> tuple[list[str], int]:
+    """The marts written, and the rows of silver by its file footers."""
     spark = silver.sparkSession
     if batch_id is None:
         writers.write_silver(silver, paths.silver)
@@ -149,8 +183,14 @@ def _publish(
     else:
         silver = silver.withColumn("batch_id", F.lit(batch_id))
         writers.write_batch(silver, paths.silver_batches, writers.PERIOD)
-        stored = spark.read.schema(silver.schema).parquet(paths.silver_batches)
-        stored = stored.where(F.col("batch_id") == batch_id)
+        # the batch's own folder alone is listed, however many batches there are
+        stored = (
+            spark.read.schema(silver.schema)
+            .option("basePath", paths.silver_batches)
+            .parquet(f"{paths.silver_batches}/batch_id={batch_id}")
+            if published_rows(spark, paths.silver_batches, batch_id)
+            else spark.createDataFrame([], silver.schema)
+        )
     if options.silver_csv:
         writers.write_silver_csv(stored, paths.export(f"silver-{batch_id or 'full'}"))
     marts = available_marts(stored.columns, options.marts)
@@ -163,7 +203,12 @@ def _publish(
         else:
             partial = table.withColumn("batch_id", F.lit(batch_id))
             writers.write_batch(partial, paths.gold_batches(name))
-    return list(marts)
+    return list(marts), stored.count()
+
+
+def published_rows(spark: SparkSession, path: str, batch_id: str) -> bool:
+    """Whether a batch left any file: one without new rows leaves no folder."""
+    return read_optional(spark, f"{path}/batch_id={batch_id}") is not None
 
 
 def _export_metrics(

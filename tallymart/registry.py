@@ -20,6 +20,7 @@ from tallymart.functions import measures, naming, values
 from tallymart.operators import aggregates as agg
 from tallymart.operators import cleaning, customers, dedupe, profile, quality
 from tallymart.operators import timeseries as ts
+from tallymart.operators.quality import QualityGateError
 from tallymart.plans import dashboard, marts
 from tallymart.plans.pipeline import RunOptions, run_batch
 from tallymart.session import scratch_path, written
@@ -69,11 +70,6 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_orders(messy_bronze(spark, sf_dir))
 
 
-def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed rows, stored once like a run's stage: the split reads columns, not text."""
-    return written(_typed(spark, sf_dir), "cleaned")
-
-
 def _total_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.to_series(agg.monthly_revenue(good_fact(spark, sf_dir)))
 
@@ -168,7 +164,7 @@ def standardize_dims(spark, sf_dir):
 
 @query
 def good_rows(spark, sf_dir):
-    silver = cleaning.silver_columns(quality.good_rows(_cleaned(spark, sf_dir)))
+    silver = cleaning.silver_columns(quality.good_rows(_typed(spark, sf_dir)))
     return shown(
         silver.select("order_id", "line_number", "order_date", "category", "sales_clean",
                       "quantity_clean", "year", "month", "src_year")
@@ -177,15 +173,15 @@ def good_rows(spark, sf_dir):
 
 @query
 def quarantine_rows(spark, sf_dir):
-    rejects = quality.quarantined(quality.classify(_cleaned(spark, sf_dir)))
+    rejects = quality.quarantined(quality.classify(_typed(spark, sf_dir)))
     return shown(rejects.select("order_id", "line_number", "order_date", "sales", "reject_reasons"))
 
 
 @query
 def except_all(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
-    rejects = quality.except_all(cleaned, quality.good_rows(cleaned))
-    return shown(rejects.select("order_id", "line_number", "order_date", "sales_clean"))
+    """Only the compared columns are shuffled; the complement filter needs no shuffle at all."""
+    cleaned = _typed(spark, sf_dir).select("order_id", "line_number", "order_date", "sales_clean")
+    return shown(quality.except_all(cleaned, quality.good_rows(cleaned)))
 
 
 @query
@@ -197,7 +193,7 @@ def quality_metrics(spark, sf_dir):
 
 @query
 def reject_reason_counts(spark, sf_dir):
-    return shown(quality.reason_counts(quality.classify(_cleaned(spark, sf_dir))))
+    return shown(quality.reason_counts(quality.classify(_typed(spark, sf_dir))))
 
 
 @query
@@ -353,6 +349,57 @@ def incremental_ingest(spark, sf_dir):
     return shown(marts.read_gold_batches(spark, paths, "monthly_revenue_by_category", ("category",)))
 
 
+@query
+def mixed_header_ingest(spark, sf_dir):
+    """Two headers for the same columns in one folder, and a file that is no order file."""
+    paths, raw = LakePaths(scratch_path(spark, "lake")), scratch_path(spark, "raw")
+    messy = messy_bronze(spark, sf_dir)
+    odd = F.col("` Order ID`").cast("long") % 2 == 1
+    renamed = {"Order Date": "OrderDate", "Sales": "Revenue", "Category": "CATEGORY"}
+    messy.where(~odd).write.options(**writers.CSV_OPTIONS).csv(raw)
+    messy.where(odd).withColumnsRenamed(renamed).drop("Year").write.mode("append").options(
+        **writers.CSV_OPTIONS
+    ).csv(raw)
+    table(spark, sf_dir, "region").write.mode("append").options(**writers.CSV_OPTIONS).csv(raw)
+    ingest_available(spark, raw, paths)
+    return shown(marts.read_gold_batches(spark, paths, "monthly_revenue_by_category", ("category",)))
+
+
+@query
+def ingest_redelivered_file(spark, sf_dir):
+    """All rows delivered twice; a line of an order counts once, its largest amount."""
+    paths, raw = LakePaths(scratch_path(spark, "lake")), scratch_path(spark, "raw")
+    keys = ("order_id", "line_number")
+    options = RunOptions(business_keys=keys, latest_first=("sales_clean", "order_date"))
+    for _ in range(2):
+        messy_bronze(spark, sf_dir).write.mode("append").options(**writers.CSV_OPTIONS).csv(raw)
+        ingest_available(spark, raw, paths, options)
+    return shown(marts.read_gold_batches(spark, paths, "monthly_revenue"))
+
+
+@query
+def audit_after_replay(spark, sf_dir):
+    paths, raw = LakePaths(scratch_path(spark, "lake")), _raw_folder(spark, sf_dir)
+    for _ in range(2):
+        run_batch(spark, raw, paths, RunOptions(), run_id="again", batch_id="again")
+    log = marts.audit_log(spark, paths)
+    return shown(log.select("run_id", "status", "row_in", "row_good", "row_duplicate"))
+
+
+@query
+def batch_pipeline_aborted(spark, sf_dir):
+    """Above the gate: an audit row and the quarantine under the run's id, and no silver."""
+    paths = LakePaths(scratch_path(spark, "lake"))
+    try:
+        run_batch(spark, _raw_folder(spark, sf_dir), paths, RunOptions(max_bad_fraction=0.0), run_id="stopped")
+    except QualityGateError:
+        pass
+    log = marts.audit_log(spark, paths).select("run_id", "status", "row_bad")
+    rejects = spark.read.parquet(paths.quarantine).groupBy("run_id").agg(F.count("*").alias("quarantined"))
+    silver = readers.read_optional(spark, paths.silver) is not None
+    return shown(log.join(rejects, "run_id").withColumn("silver", F.lit(silver)))
+
+
 # -- aggregates ---------------------------------------------------------------------
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 
 def new_run_id(now: datetime | None = None) -> str:
-    """UTC run id such as ``20250131T093000Z``."""
-    return (now or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
+    """UTC run id such as ``20250131T093000Z``; without a given time a random suffix
+    keeps runs of one second apart."""
+    if now is not None:
+        return now.strftime("%Y%m%dT%H%M%SZ")
+    return f"{new_run_id(datetime.now(timezone.utc))}-{uuid.uuid4().hex[:8]}"
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,14 @@ class LakePaths:
     def audit(self) -> str:
         return self._under("audit", "runs")
 
+    @property
+    def rejected_files(self) -> str:
+        return self._under("quarantine", "files")
+
+    def staging(self, name: str) -> str:
+        """A run's own folder, below the lake so that all machines share it."""
+        return self._under("_staging", f"{name}-{uuid.uuid4().hex}")
+
     def gold(self, mart: str) -> str:
         return self._under("gold", mart)
 

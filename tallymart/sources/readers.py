@@ -35,27 +35,54 @@ def text_schema(names: list[str]) -> T.StructType:
 
 
 def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
-    """Header names: reads the first line of one file, infers nothing."""
-    options = {"header": "true", "escape": '"', "encoding": encoding}
-    return spark.read.options(**options).csv(path).columns
+    """Header names as they are written: the first line of one file, blank names empty.
+
+    A file without a line has none.
+    """
+    options = {"header": "false", "escape": '"', "encoding": encoding}
+    first = spark.read.options(**options).csv(path).first()
+    return [name or "" for name in first] if first is not None else []
+
+
+def unique_names(header: list[str]) -> list[str]:
+    """Column names for a header: blank ones by their place, repeated ones with ``_2``, ``_3``.
+
+    Names that differ only in case count as repeated, as Spark resolves them alike.
+    """
+    taken: set[str] = set()
+    names = []
+    for place, name in enumerate(header, start=1):
+        base = name if name.strip() else f"column_{place}"
+        candidate, n = base, 1
+        while candidate.lower() in taken:
+            n += 1
+            candidate = f"{base}_{n}"
+        taken.add(candidate.lower())
+        names.append(candidate)
+    return names
 
 
 def read_bronze(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     encoding: str = "UTF-8",
     multiline: bool = False,
-    names: list[str] | None = None,
+    header: list[str] | None = None,
 ) -> DataFrame:
     """Headered CSV as text, one scan, no inference.
 
     Files whose header differs from the first one's fail the read instead of
-    shifting columns.  ``multiline`` allows line breaks inside quotes but makes
+    shifting columns; ``header`` says that it was read of every file.  Blank and
+    repeated names are made unique (Spark cannot compare such a header itself).  ``multiline`` allows line breaks inside quotes but makes
     a file one task, so keep it off for large files.
     """
-    names = names or csv_header(spark, path, encoding)
+    known = header is not None
+    header = header if known else csv_header(spark, path, encoding)
+    names = unique_names(header)
+    compared = not known and names == header
     return (
         spark.read.options(**csv_options(encoding, multiline))
+        .option("enforceSchema", str(not compared).lower())
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(text_schema(names))
         .csv(path)
@@ -71,32 +98,39 @@ def read_silver(
 ) -> DataFrame:
     """Silver rows of the months ``start``..``end``, each a (year, month).
 
-    The bounds touch partition columns only, so other months are not listed.
+    The bounds touch partition columns only, so files of other months are listed but
+    not read; plain bounds on the year can be pushed to a catalog as well.
     """
     df = spark.read.parquet(path)
     ordinal = F.col("year") * 12 + F.col("month")
     if start is not None:
-        df = df.where(ordinal >= start[0] * 12 + start[1])
+        df = df.where((F.col("year") >= start[0]) & (ordinal >= start[0] * 12 + start[1]))
     if end is not None:
-        df = df.where(ordinal <= end[0] * 12 + end[1])
+        df = df.where((F.col("year") <= end[0]) & (ordinal <= end[0] * 12 + end[1]))
     return df.select(*columns) if columns else df
 
 
 def read_csv_folder(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """All CSV parts of a folder and of the folders below it as one table.
+    """The CSV parts of a folder as one table; of the folders below it if it has none itself.
 
     With a schema the columns are typed, so sorting months is numeric.  A folder
     without any part is an error, not an empty table.
     """
-    reader = spark.read.options(
-        header="true", escape='"', recursiveFileLookup="true", pathGlobFilter="*.csv"
-    )
-    df = (reader.schema(schema) if schema else reader).csv(path)
-    if not df.inputFiles():
-        raise FileNotFoundError(f"No CSV files in {path}")
-    return df
+    for where in ({}, {"recursiveFileLookup": "true"}):
+        # a listing without content: is there a part at all
+        parts = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", **where)
+        own = parts.load(path).select("path", F.element_at(F.split("path", "/"), -2).alias("folder"))
+        if not where:
+            name = path.rstrip("/").rpartition("/")[2]
+            own = own.where(F.col("folder") == name)
+        if own.limit(1).count():
+            options = {"header": "true", "escape": '"', "pathGlobFilter": "*.csv", **where}
+            reader = spark.read.options(**options)
+            target = path if where else f"{path.rstrip('/')}/*.csv"
+            return (reader.schema(schema) if schema else reader).csv(target)
+    raise FileNotFoundError(f"No CSV files in {path}")
 
 
 def read_optional(

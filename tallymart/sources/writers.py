@@ -72,9 +72,15 @@ def write_quarantine(bad: DataFrame, path: str, run_id: str) -> None:
     )
 
 
-def append_audit(spark: SparkSession, path: str, row: dict) -> DataFrame:
-    """Append one run's row to the audit table and return it as a table."""
-    values = tuple(row[f.name] for f in AUDIT_SCHEMA)
+def write_audit(spark: SparkSession, path: str, row: dict) -> DataFrame:
+    """One run's audit row below ``run_id=``; a replayed run replaces its own."""
+    values = tuple(row.get(f.name) for f in AUDIT_SCHEMA)
     table = spark.createDataFrame([values], AUDIT_SCHEMA)
-    table.coalesce(1).write.mode("append").parquet(path)
+    (
+        table.coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(path)
+    )
     return table

@@ -1,16 +1,18 @@
 from __future__ import annotations
 
 import os
+from datetime import date
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallymart.contract import OrderContract
 from tallymart.operators.quality import QualityGateError
 from tallymart.plans import marts
 from tallymart.plans.pipeline import RunOptions, run_batch
-from tallymart.session import scratch_root, shuffle_width, split_size, written
+from tallymart.session import shuffle_width, split_size, written
 from tallymart.sources.paths import LakePaths
 
 HEADER = "Order ID,Order Date,Sales,Quantity,Category,Region,Year\n"
@@ -64,7 +66,7 @@ def test_run_publishes_all_layers(spark, lake, raw):
     for name in ("monthly_revenue", "monthly_revenue_by_category", "metrics/run_id=r1"):
         assert len(list(Path(lake.export(name)).glob("*.csv"))) == 1
     assert list(Path(lake.export("silver-full")).glob("*.csv"))
-    assert not [n for n in os.listdir(scratch_root(spark)) if n.startswith("run-r1")]
+    assert not os.listdir(lake.root + "/_staging")
 
 
 def test_gate_keeps_rejects_and_an_audit_row_only(spark, lake, raw):
@@ -75,7 +77,7 @@ def test_gate_keeps_rejects_and_an_audit_row_only(spark, lake, raw):
     assert not Path(lake.silver).exists() and not Path(lake.gold("monthly_revenue")).exists()
     (audit,) = marts.audit_log(spark, lake).collect()
     assert (audit["status"], audit["bad_fraction"]) == ("ABORTED", 0.1)
-    assert not [n for n in os.listdir(scratch_root(spark)) if n.startswith("run-bad")]
+    assert not os.listdir(lake.root + "/_staging")
 
 
 def test_limit_is_a_parameter(spark, lake, raw):
@@ -119,6 +121,50 @@ def test_duplicates_are_dropped_on_request(spark, lake, raw):
     assert spark.read.parquet(lake.silver).count() == 2
 
 
+def test_business_keys_within_and_across_batches(spark, lake, tmp_path):
+    def deliver(name, lines, batch_id):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.csv").write_text(HEADER + "".join(lines))
+        options = RunOptions(business_keys=("order_id",))
+        return run_batch(spark, str(tmp_path / name), lake, options, run_id=batch_id, batch_id=batch_id)
+
+    deliver("a", [line(1, sales="1"), line(1, sales="2"), line(2)], "b1")
+    deliver("b", [line(2), line(1, sales="9"), line(3)], "b2")
+    deliver("c", [line(3)], "b3")
+    rows = {r["order_id"]: r["sales_clean"] for r in spark.read.parquet(lake.silver_batches).collect()}
+    assert rows == {"1": Decimal(2), "2": Decimal("10.5"), "3": Decimal("10.5")}
+    gold = marts.read_gold_batches(spark, lake, "monthly_revenue")
+    assert gold.agg(F.sum("total_sales")).first()[0] == Decimal(23)
+    duplicates = {r["run_id"]: (r["row_good"], r["row_duplicate"]) for r in marts.audit_log(spark, lake).collect()}
+    assert duplicates == {"b1": (3, 1), "b2": (3, 2), "b3": (1, 1)}
+
+
+def test_replay_and_failure_in_the_audit(spark, lake, raw, monkeypatch):
+    path = raw("a.csv", [line(i) for i in range(3)])
+    for _ in range(2):
+        run_batch(spark, path, lake, run_id="same", batch_id="same")
+    assert marts.audit_log(spark, lake).count() == 1
+    monkeypatch.setattr("tallymart.plans.pipeline.writers.write_gold", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_batch(spark, path, lake, run_id="broken")
+    statuses = {r["run_id"]: r["status"] for r in marts.audit_log(spark, lake).collect()}
+    assert statuses == {"same": "SUCCEEDED", "broken": "FAILED"}
+
+
+def test_numbers_and_dates_out_of_range_are_rejects(spark, lake, raw):
+    rows = [line(i) for i in range(20)] + [line(20, when="32298"), line(21, when="2/5/1911")]
+    contract = OrderContract(date_range=(date(2000, 1, 1), date(2030, 1, 1)))
+    run_batch(spark, raw("a.csv", rows), lake, RunOptions(contract=contract, max_bad_fraction=0.2))
+    rejects = {r["order_id"]: r["reject_reasons"] for r in spark.read.parquet(lake.quarantine).collect()}
+    assert rejects == {"20": ["missing_order_date"], "21": ["order_date_out_of_range"]}
+
+
+def test_contract_date_formats(spark, lake, raw):
+    contract = OrderContract(date_formats=("d.M.yyyy",))
+    run_batch(spark, raw("a.csv", [line(1, when="31.12.2012")]), lake, RunOptions(contract=contract))
+    assert spark.read.parquet(lake.silver).first()["order_date"] == date(2012, 12, 31)
+
+
 def test_marts_without_their_dimension_are_skipped(spark, lake, tmp_path):
     folder = tmp_path / "raw"
     folder.mkdir()

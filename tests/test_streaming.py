@@ -86,6 +86,26 @@ def test_gate_per_batch(spark, tmp_path):
     assert {r["status"] for r in marts.audit_log(spark, lake).collect()} == {"SUCCEEDED", "ABORTED"}
 
 
+def test_files_of_any_header(spark, tmp_path):
+    lake, raw = LakePaths(str(tmp_path / "lake")), tmp_path / "raw"
+    put(raw, {"a.csv": LINES[:10]})
+    (raw / "b.csv").write_text("Amount,OrderDate,Amount,,Category\n5,2/5/2011,7,x,a\n")
+    (raw / "c.csv").write_text("foo,bar\n1,2\n")
+    (raw / "d.csv").write_text("")
+    ingest_available(spark, str(raw), lake)
+    stored = spark.read.parquet(lake.silver_batches)
+    assert stored.count() == 11
+    other = stored.where("amount_2 is not null").first()
+    assert (float(other["sales_clean"]), other["amount_2"], other["column_4"]) == (5.0, "7", "x")
+    files = {r["path"].rpartition("/")[2]: r["reason"] for r in spark.read.parquet(lake.rejected_files).collect()}
+    assert set(files) == {"c.csv"}  # an empty file holds nothing to report
+    assert "Missing required" in files["c.csv"]
+    put(raw, {"e.csv": LINES[10:20]})
+    ingest_available(spark, str(raw), lake)
+    assert spark.read.parquet(lake.silver_batches).count() == 21
+    assert sorted(r["status"] for r in marts.audit_log(spark, lake).collect()) == ["FILES_REJECTED", "SUCCEEDED", "SUCCEEDED"]
+
+
 START = datetime(2024, 1, 1, 6)
 
 
