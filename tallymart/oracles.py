@@ -201,6 +201,14 @@ def _renamed(order: str, line: str, country: str, quantity: str) -> str:
     )
 
 
+def _filled_counts(*names: str) -> str:
+    columns = (
+        "order_id", "line_number", "coalesce(order_date, DATE '2000-01-01')", "ship_date",
+        "coalesce(sales, 0)", "profit", "discount", "quantity", "category", "country", "year",
+    )
+    return _with("SELECT " + ", ".join(f'count({c}) AS "{n}"' for c, n in zip(columns, names)) + " FROM fact")
+
+
 def _profile() -> str:
     numeric = {
         "line_number": "int", "quantity": "int", "discount": "decimal(18,4)",
@@ -298,6 +306,18 @@ ORACLES: dict[str, str] = {
     "normalize_columns": _renamed("order_id", "line_number", "country_market", "quantity"),
     "normalize_columns_strict": _renamed("order_id", "line_number", "country_market", "_quantity_"),
     "normalize_columns_lower": _renamed("order id", "line.number", "country/market", "[quantity]"),
+    "normalize_all_columns": _filled_counts(
+        "order_id", "line_number", "order_date", "ship_date", "sales", "profit", "discount",
+        "quantity", "category", "country_market", "year",
+    ),
+    "normalize_all_columns_strict": _filled_counts(
+        "order_id", "line_number", "order_date", "ship_date", "sales", "profit", "discount",
+        "_quantity_", "category", "country_market", "year",
+    ),
+    "normalize_all_columns_lower": _filled_counts(
+        "order id", "line.number", "order date", "ship-date", "sales", "profit", "discount",
+        "[quantity]", "category", "country/market", "year",
+    ),
     "clean_money": _with(
         CLEAN,
         "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(line_number AS VARCHAR) AS line_number, "
@@ -640,6 +660,14 @@ ORACLES: dict[str, str] = {
         FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY lineitem.l_shipdate DESC, l_extendedprice DESC, l_partkey DESC, l_suppkey DESC) = 1""",
     "dedupe_exact": "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem",
+    "dedupe_exact_rows": (
+        "SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
+        + ", ".join(
+            f"CAST(CAST({c} AS DECIMAL(18,4)) AS DOUBLE) AS {c}"
+            for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        )
+        + f", l_returnflag, l_linestatus, {_iso('l_shipdate')} AS l_shipdate FROM lineitem"
+    ),
     "customer_ltv": _with(
         f"SELECT customer_id, {_total()} AS revenue, count(DISTINCT order_id) AS orders, "
         f"{_iso('min(order_date)')} AS first_order, {_iso('max(order_date)')} AS last_order, "

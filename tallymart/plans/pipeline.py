@@ -199,7 +199,8 @@ def _publish(
         if batch_id is None:
             writers.write_gold(table, paths.gold(name))
             if options.export:
-                writers.export_csv(table, paths.export(name), "year", "month", *marts[name])
+                keys = ("year", "month", *marts[name])
+                writers.export_csv(table, paths.export(name), *keys, one_file=not marts[name])
         else:
             partial = table.withColumn("batch_id", F.lit(batch_id))
             writers.write_batch(partial, paths.gold_batches(name))

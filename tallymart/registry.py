@@ -96,6 +96,27 @@ def _renamed(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     return shown(named.select(*[F.col(f"`{c}`") for c in (order, line, quantity, country)]))
 
 
+def _filled_counts(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Values of every column under its normalised name."""
+    named = naming.normalize_columns(messy_bronze(spark, sf_dir), mode)
+    return shown(named.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in named.columns]))
+
+
+@query
+def normalize_all_columns(spark, sf_dir):
+    return _filled_counts(spark, sf_dir, "snake")
+
+
+@query
+def normalize_all_columns_strict(spark, sf_dir):
+    return _filled_counts(spark, sf_dir, "strict")
+
+
+@query
+def normalize_all_columns_lower(spark, sf_dir):
+    return _filled_counts(spark, sf_dir, "lower")
+
+
 @query
 def normalize_columns(spark, sf_dir):
     return _renamed(spark, sf_dir, "snake")
@@ -494,7 +515,7 @@ def category_share(spark, sf_dir):
 
 @query
 def top_customers(spark, sf_dir):
-    return shown(agg.top_by(good_fact(spark, sf_dir), "customer_id", 10))
+    return shown(agg.top_by(order_fact(spark, sf_dir), "customer_id", 10))
 
 
 @query
@@ -656,20 +677,28 @@ def dedupe_exact(spark, sf_dir):
     return shown(dedupe.dedupe_exact(pairs))
 
 
+@query
+def dedupe_exact_rows(spark, sf_dir):
+    """Whole rows; amounts as exact decimals."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    exact = {f.name: F.col(f.name).cast("decimal(18,4)") for f in lines.schema if isinstance(f.dataType, T.DoubleType)}
+    return shown(dedupe.dedupe_exact(lines.withColumns(exact)))
+
+
 @query
 def customer_ltv(spark, sf_dir):
-    return shown(customers.lifetime_value(order_fact(spark, sf_dir)), exact=("avg_order_value",))
+    return shown(customers.lifetime_value(order_fact(spark, sf_dir), order_grain=True), exact=("avg_order_value",))
 
 
 @query
 def customer_churn(spark, sf_dir):
-    last = written(customers.last_orders(good_fact(spark, sf_dir)), "last-orders")
+    last = written(customers.last_orders(order_fact(spark, sf_dir)), "last-orders")
     return shown(customers.churn(last))
 
 
 @query
 def customer_retention(spark, sf_dir):
-    return shown(customers.retention(good_fact(spark, sf_dir)))
+    return shown(customers.retention(order_fact(spark, sf_dir)))
 
 
 def _drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:

@@ -55,10 +55,12 @@ def write_gold(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, *order: str) -> None:
-    """One sorted CSV file.  For aggregates only: the result is one task."""
+def export_csv(df: DataFrame, path: str, *order: str, one_file: bool = True) -> None:
+    """Sorted CSV: one file, written by one task, for totals by period; else sorted parts
+    in name order, as many as the data fills."""
     ordered = df.orderBy(*order) if order else df
-    ordered.coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    ordered = ordered.coalesce(1) if one_file else ordered
+    ordered.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_quarantine(bad: DataFrame, path: str, run_id: str) -> None:

@@ -122,3 +122,19 @@ def test_paths_and_run_ids():
     assert paths.silver == "s3a://lake/retail/silver/orders"
     assert paths.gold("m") == "s3a://lake/retail/gold/m"
     assert new_run_id()[15] == "Z" and new_run_id() != new_run_id()
+
+
+def test_a_folder_goes_before_the_folders_below_it(spark, tmp_path):
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "part-0.csv").write_text("a\n1\n")
+    assert [r.a for r in readers.read_csv_folder(spark, str(tmp_path)).collect()] == ["1"]
+    (tmp_path / "part-1.csv").write_text("a\n2\n")
+    assert [r.a for r in readers.read_csv_folder(spark, str(tmp_path)).collect()] == ["2"]
+
+
+def test_blank_and_repeated_headers(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("Sales,sales,,Sales,Note\n1,2,3,4,n\n5,6\n")
+    df = readers.read_bronze(spark, str(tmp_path))
+    assert df.columns == ["Sales", "sales_2", "column_3", "Sales_3", "Note", "corrupt_record"]
+    assert [tuple(r)[:5] for r in df.where("corrupt_record is null").collect()] == [("1", "2", "3", "4", "n")]
+    assert df.count() == 2
