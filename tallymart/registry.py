@@ -729,5 +729,5 @@ def daily_revenue_batch(spark, sf_dir):
 def distinct_event_stream(spark, sf_dir):
     path = f"{sf_dir}/events*.parquet"
     twice = ev.event_stream(spark, path).unionByName(ev.event_stream(spark, path))
-    kept = ev.distinct_events(twice, "event_id")
+    kept = ev.distinct_events(twice, "event_id", salts=8)
     return shown(_drained(spark, kept.select("event_id", "user_id", "event_type"), "distinct"))
