@@ -14,8 +14,12 @@ def _snake(name: str) -> str:
     return re.sub(SNAKE_SEPARATORS, "_", name.strip().lower()).strip("_")
 
 
+# Fixed value: what strict mode keeps of a name.
+STRICT_SEPARATORS = "[^0-9a-z]+"
+
+
 def _strict(name: str) -> str:
-    return re.sub("[^0-9a-z]+", "_", name.strip().lower())
+    return re.sub(STRICT_SEPARATORS, "_", name.strip().lower())
 
 
 def _lower(name: str) -> str:

@@ -70,7 +70,11 @@ def profile(df: DataFrame, accuracy: int | None = None) -> DataFrame:
 def exact_quantiles(
     df: DataFrame, points: tuple[float, ...] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
-    """Interpolated quantiles of every numeric column, exact at any size.
+    """Interpolated quantiles of every numeric column, exact for values that a double holds.
+
+    Whole numbers beyond 2^53 and wider decimals are rounded to doubles first.
+    The values of all numeric columns go through one shuffle, counted per task
+    before it: its size is that of their distinct values.
 
     Values are counted first, so a frequent value is one row, then range
     partitioned and stored with their partition number.  The partitions' totals

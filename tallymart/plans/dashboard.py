@@ -26,6 +26,9 @@ def kpi_card(series: DataFrame) -> DataFrame:
     )
 
 
+# The sentence texts of this module are fixed values.
+
+
 def _direction(change: Column, against: str) -> Column:
     verb = F.when(change >= 0, "increased").otherwise("decreased")
     sentence = F.format_string(f"Revenue %s %.1f%% vs {against}.", verb, F.abs(change))
