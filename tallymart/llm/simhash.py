@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import connected_components
-from tallymart.llm.util import ascii_lower_words, shared_folder, table, text_slices
+from tallymart.llm.util import ascii_lower_words, fresh_names, shared_folder, table, text_slices
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -321,17 +321,21 @@ def drop_near_duplicates(
     """One row of each near-duplicate group, the one with the smallest doc_id, with all columns.
 
     Rows with a null doc_id belong to no group and stay.  Of rows with equal id
-    and text one stays; of equal ids with unlike texts, one.
+    and text one stays; of equal ids with unlike texts, one.  Other columns may
+    have any names.
     """
+    own_id, own_text, number = fresh_names(docs, "_id", "_text", "_n")
     groups = near_duplicate_groups(docs, size, max_bits).where("doc_id = component_id")
     kept = groups.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"))
-    text = F.xxhash64(F.col("text").cast("string"))
+    kept = kept.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_text))
+    # equality of the texts as a range: the join deals rows by doc_id alone, and so
+    # the window needs no second shuffle of the texts
+    same_text = F.xxhash64(F.col("text").cast("string")).between(F.col(own_text), F.col(own_text))
     named = docs.where("doc_id is not null").join(
-        kept, (F.col("doc_id").cast("long") == F.col("_id")) & (text == F.col("_text")), "left_semi"
+        kept, (F.col("doc_id").cast("long") == F.col(own_id)) & same_text, "left_semi"
     )
-    order = Window.partitionBy("doc_id").orderBy(F.lit(0))
-    named = named.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    order = Window.partitionBy(F.col("doc_id").cast("long")).orderBy(F.lit(0))
+    named = named.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).drop(number)
     return named.unionByName(docs.where("doc_id is null"))
 
 

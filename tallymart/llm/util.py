@@ -44,6 +44,17 @@ def text_slices(
             yield batch.slice(start)
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores put before one until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name in the folder that all machines share (``spark.checkpoint.dir``)."""
     return scratch_path(spark, name)

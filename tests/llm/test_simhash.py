@@ -84,6 +84,17 @@ def test_unusual_rows(docs):
     assert simhash.near_duplicate_groups(frame.limit(0)).collect() == []
 
 
+def test_clashing_names_and_shuffles(docs):
+    """Names of helper columns may be in use; the texts are dealt out once."""
+    frame = docs((1, "a b c"), (2, "a b c"), (1, "a b c"), (1, "other text"), (None, "x"), extra=("_id", "_TEXT", "_n", "__n", "fp"))
+    kept = simhash.drop_near_duplicates(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    between = plan.split("Window ", 1)[1].split("Join ", 1)[0]
+    assert "Exchange" not in between
+
+
 def test_whole_table_against_all_pairs(spark, sf_dir):
     rows = simhash.op6_simhash_near_dedup(spark, sf_dir).collect()
     fps = {r.doc_id: int(r.fingerprint, 16) for r in rows}
