@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.util import broadcast_if_small, shared_folder, stored, table
+from tallymart.llm.util import broadcast_if_small, fresh_names, shared_folder, stored, table
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -128,6 +128,7 @@ def contaminated_texts(
 ) -> DataFrame:
     """(text_key, item_id, start, n_words, similarity): each text's best window of each item.
 
+    Windows lie as a shingle in common would align text and item.
     ``text_key`` is the XXH64 of the text, so copies are searched once.  ``start``
     counts words from 0; of equally similar windows the first is given.  Items
     of fewer than ``size`` words are one shingle.  Texts and items without words
@@ -227,11 +228,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, **limits) -> DataF
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns; null texts stay."""
+    """The rows of ``docs`` that hold no item, with all their columns, whatever their names; null texts stay."""
+    (key,) = fresh_names(docs, "_key")
     folder = shared_folder(docs.sparkSession, "contamination")
-    hits = contaminated_texts(docs, benchmark, **limits).select(F.col("text_key").alias("_key")).distinct()
+    hits = contaminated_texts(docs, benchmark, **limits).select(F.col("text_key").alias(key)).distinct()
     hits = broadcast_if_small(stored(hits, folder, "keys"))
-    return docs.join(hits, F.xxhash64(F.col("text").cast("string")) == F.col("_key"), "left_anti")
+    return docs.join(hits, F.xxhash64(F.col("text").cast("string")) == F.col(key), "left_anti")
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

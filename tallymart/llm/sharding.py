@@ -117,19 +117,21 @@ def hilbert_shards(
     code counts as 0.  Counts of shards differ by one at most and ``slot`` numbers a shard's
     rows without gaps from 0, in curve order.  Equal rows take neighbouring
     places; which of them comes first has no effect on what a shard holds.  Columns
-    of ``rows`` with the added names are replaced.
+    of ``rows`` with the added names are replaced; others may have any names.
     """
     n_dims = len(dimensions)
     if not dimensions or n_dims * bits > 16:
         raise ValueError("the grid takes 1 to 16 bits in all")
     folder = shared_folder(rows.sparkSession, "sharding")
-    kept = [c for c in rows.columns if c not in ("curve_index", "shard", "slot")]
+    kept = [f"`{c}`" for c in rows.columns if c.lower() not in ("curve_index", "shard", "slot")]
     codes = [F.coalesce(c, F.lit(0)) for c in dimensions.values()]
     cell = F.lit(0)
     for code in codes:
         cell = cell * (1 << bits) + code
     part = F.pmod(F.xxhash64(*kept), F.lit(parts)).cast("int")
-    placed = stored(rows.select(*kept, cell.cast("int").alias("_cell"), part.alias("_part")), folder, "placed")
+    placed = stored(
+        rows.select(F.struct(*kept).alias("_row"), cell.cast("int").alias("_cell"), part.alias("_part")), folder, "placed"
+    )
 
     # at most 2 ** (bits * dimensions) cells of at most ``parts`` parts, whatever the rows
     counts = stored(placed.groupBy("_cell", "_part").agg(F.count("*").alias("_n")), folder, "counts")
@@ -148,7 +150,7 @@ def hilbert_shards(
     )
     starts = stored(part_start.join(cell_start, "_cell"), folder, "starts")
 
-    in_part = Window.partitionBy("_cell", "_part").orderBy(*kept)
+    in_part = Window.partitionBy("_cell", "_part").orderBy("_row")
     ranked = placed.withColumn("_rank", F.row_number().over(in_part) - 1)
     place = F.col("_cell_start") + F.col("_part_start") + F.col("_rank")
     # run k holds the places p with floor(p * shards / total) = k
@@ -157,7 +159,7 @@ def hilbert_shards(
         .withColumn("_place", place)
         .withColumn("shard", F.expr(f"cast((_place * {shards}) div _total as int)"))
         .withColumn("slot", F.expr(f"_place - (shard * _total + {shards} - 1) div {shards}"))
-        .select(*kept, "curve_index", "shard", "slot")
+        .select("_row.*", "curve_index", "shard", "slot")
     )
 
 

@@ -69,6 +69,13 @@ def test_filter_and_empty_tables(docs, benchmark):
     assert D.drop_contaminated(frame, benchmark.where("text is null")).count() == 5
 
 
+def test_clashing_names(docs, benchmark):
+    frame = docs((1, ITEM), (2, FILL), extra=("_key", "__KEY", "text_key", "item_id", "m"))
+    kept = D.drop_contaminated(frame, benchmark)
+    assert kept.columns == frame.columns and [r.doc_id for r in kept.collect()] == [2]
+    assert [(r.doc_id, r.item_id) for r in D.find_contamination(frame, benchmark).collect()] == [(1, 1)]
+
+
 def test_blocks_guarantee_the_radius(spark):
     """Two words within the radius share a block, however the unlike bits lie."""
     from pyspark.sql import functions as F

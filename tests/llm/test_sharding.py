@@ -51,6 +51,16 @@ def test_unusual_rows(spark):
     assert len(S.shard_documents(frame.limit(1)).collect()) == 1
 
 
+def test_clashing_names(spark):
+    names = ["_cell", "_part", "_n", "_rank", "_place", "_total", "_row", "SLOT", "a.b"]
+    frame = spark.createDataFrame([tuple(range(i, i + 9)) for i in range(20)], names)
+    got = S.hilbert_shards(frame, {"x": F.col("_n") % 16}, shards=3)
+    assert got.columns == [*names[:7], "a.b", "curve_index", "shard", "slot"]
+    rows = got.collect()
+    assert sorted(r["_cell"] for r in rows) == list(range(20))
+    assert Counter(r.shard for r in rows) == {0: 7, 1: 7, 2: 6}
+
+
 def test_runs_prune(spark, sf_dir):
     """A shard spans fewer codes of each dimension than the table."""
     rows = S.shard_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
