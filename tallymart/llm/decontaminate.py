@@ -4,11 +4,11 @@ Windows of a text that are as long as an item are fingerprinted by SimHash, a
 multi-index over Hamming blocks finds all items within a radius, and the exact
 weighted similarity of the word shingles decides.
 
-A window that holds no shingle of any item has similarity zero.  So windows are
-taken where a shingle of an item occurs: each occurrence fixes how the item
-would lie in the text, and the window there is fingerprinted.  The texts'
-shingles are probed against the items' shingles inside the scan; only matches
-leave it.
+A window's similarity is bounded by the number of its shingles that occur in
+items of its length.  So every window that holds enough of them to reach the
+threshold is fingerprinted, in whatever order they come; all others are below it.
+The texts' shingles are probed against the items' shingles inside the scan; only
+matches leave it.
 """
 
 from __future__ import annotations
@@ -119,6 +119,30 @@ def _with_shingles(df: DataFrame, sizes: list[int], longest: int) -> DataFrame:
     return out
 
 
+def reachable_starts(places: Column, n: Column, m: Column, size: Column, min_similarity: float) -> Column:
+    """Starts of all windows of ``m`` words that can be as similar as ``min_similarity``.
+
+    ``places`` has the sorted positions of a text of ``n`` words where a shingle
+    of ``size`` words of an item of ``m`` words begins.  Two bags of a and b
+    shingles with c in common have similarity c / (a + b - c), and c is at most
+    the window's places.  A window holds c places if it holds the first and the
+    last of c neighbours.  All columns have to be stored columns.
+    """
+    both = (m - size + 1) + (F.least(n, m) - size + 1)
+    least = F.ceil(both * min_similarity / (1 + min_similarity) - 1e-9).cast("int")
+    last = F.greatest(least, F.lit(1)) - 1
+    starts = F.transform(
+        places,
+        lambda place, i: F.struct(
+            F.greatest(F.lit(0), F.get(places, i + last) - (m - size)).alias("lo"),
+            F.greatest(F.lit(0), F.least(place, n - m)).alias("hi"),
+        ),
+    )
+    # past the last place ``get`` gives null, which greatest() skips
+    ranges = F.filter(F.slice(starts, F.lit(1), F.greatest(F.size(places) - last, F.lit(0))), lambda r: r.lo <= r.hi)
+    return F.array_distinct(F.flatten(F.transform(ranges, lambda r: F.sequence(r.lo, r.hi))))
+
+
 def contaminated_texts(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -128,7 +152,7 @@ def contaminated_texts(
 ) -> DataFrame:
     """(text_key, item_id, start, n_words, similarity): each text's best window of each item.
 
-    Windows lie as a shingle in common would align text and item.
+    All windows of the text count that are as long as the item.
     ``text_key`` is the XXH64 of the text, so copies are searched once.  ``start``
     counts words from 0; of equally similar windows the first is given.  Items
     of fewer than ``size`` words are one shingle.  Texts and items without words
@@ -149,7 +173,7 @@ def contaminated_texts(
     keyed = docs.select(
         F.xxhash64(F.col("text").cast("string")).alias("text_key"), F.col("text").cast("string").alias("text")
     )
-    # where a shingle of an item occurs in a text, and how the item would lie there
+    # where a shingle of an item of m words occurs in a text
     hashed = keyed.select("text_key", words(F.col("text")).alias("words"))
     hashed = hashed.select(
         "text_key", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
@@ -157,17 +181,23 @@ def contaminated_texts(
     found = []
     for s in sizes:
         fits = F.col("m") >= size if s == size else F.col("m") == s
-        wanted = items.where(fits).select("m", F.posexplode("codes").alias("off", "code")).distinct()
+        wanted = items.where(fits).select("m", F.explode("codes").alias("code")).distinct()
         wanted = broadcast_if_small(stored(wanted, folder, f"codes-{s}"))
         probes = hashed.where(F.col("n") >= s).select(
             "text_key", "n", F.posexplode(shingle_hashes(F.col("hashes"), s)).alias("pos", "code")
         )
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.col("n") - F.col("m")))
-        found.append(probes.join(wanted, "code").select("text_key", start.alias("start"), "m"))
-    anchors = found[0]
+        found.append(probes.join(wanted, "code").select("text_key", "n", "m", "pos"))
+    hits = found[0]
     for part in found[1:]:
-        anchors = anchors.unionByName(part)
-    anchors = stored(anchors.distinct(), folder, "anchors")
+        hits = hits.unionByName(part)
+    # copies of a text are merged before its places are gathered
+    hits = stored(hits.distinct(), folder, "hits")
+    places = hits.groupBy("text_key", "n", "m").agg(F.array_sort(F.collect_list("pos")).alias("places"))
+    places = stored(places, folder, "places")
+    starts = reachable_starts(
+        F.col("places"), F.col("n"), F.col("m"), F.least("m", F.lit(size)), min_similarity
+    )
+    anchors = stored(places.select("text_key", "m", F.explode(starts).alias("start")), folder, "anchors")
 
     held = broadcast_if_small(stored(anchors.select("text_key").distinct(), folder, "texts"))
     texts = (

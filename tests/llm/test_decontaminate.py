@@ -59,6 +59,25 @@ def test_against_all_windows(docs, benchmark):
     assert {d for d, _ in got} == {None, 10, 14, 15, 17, 18, 19, 20}
 
 
+def test_items_in_another_order(spark, docs):
+    """Windows count wherever they lie, not only where a shingle would align the item."""
+    item, fill = [f"term{i}" for i in range(60)], FILL.split()[:35]
+    short = [f"part{i}" for i in range(50)]
+    swapped = [*item[30:], *item[:30]]
+    moved = [*short[10:], *short[:10]]
+    texts = [
+        (1, " ".join([*fill, *swapped, *fill])), (2, " ".join([*fill, *moved, *fill])), (3, " ".join(swapped)),
+        (4, " ".join(moved)), (5, " ".join([*fill, *item[20:], *item[:20:2], *fill])), (6, " ".join([*fill, *short[:49], *fill])),
+        (7, " ".join(moved[:48])),
+    ]
+    items = [(1, " ".join(item)), (2, " ".join(short))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in D.find_contamination(docs(*texts), benchmark).collect()}
+    assert got == brute(texts, items)
+    assert {(1, 1), (2, 2), (3, 1), (4, 2)} <= set(got)
+    assert {r.doc_id for r in D.drop_contaminated(docs(*texts), benchmark).collect()} == set(range(1, 8)) - {d for d, _ in got}
+
+
 def test_filter_and_empty_tables(docs, benchmark):
     frame = docs((1, ITEM), (2, FILL), (3, None), (None, FILL), (2, FILL))
     kept = D.drop_contaminated(frame, benchmark)
