@@ -3,8 +3,14 @@
 Rules decide the urls they fit.  The share of a host's urls that rules allow is
 its trust seed, the share that they block its distrust seed.  Trust spreads
 along links by personalised PageRank from the trusted seeds; distrust spreads
-against them, from a blocked host to the hosts that link to it.  A url without a
-rule is blocked if its host's distrust exceeds its trust by a margin.
+against them, from a blocked host to the hosts that link to it.
+
+That mass is divided among linkers and leaves its seeds, so it ranks hosts but
+does not judge them.  A url without a rule is judged by shares between 0 and 1:
+where a surfer stops who stays at a host with the share of its urls that rules
+decide, and else follows one of its links (distrust) or goes back along one that
+leads to it (trust).  It is blocked if the distrusted share exceeds the trusted
+one by a margin.  Links within a host say nothing of it and are left out.
 
 Mass is not scaled to one, so a host without links keeps exactly its seeds.
 Links are counted per pair of hosts where the pages are read; each round is a
@@ -42,7 +48,7 @@ RULES = (
     Rule("block", "net", "/fr/"),
 )
 DAMPING = 0.85
-#: Distrust less trust from which on a host is blocked.
+#: Distrusted less trusted share from which on a host is blocked.
 MARGIN = 0.5
 ROUNDS = 60
 #: Rounds end when the change in a round is below this share of the seeds.
@@ -162,6 +168,50 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     return state.select("host", "trust", "distrust")
 
 
+def judged_shares(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    """(host, good, bad) from (host, trust_seed, distrust_seed) and (src, dst, links).
+
+    ``bad`` is a host's own distrust seed, and for the share of it that no seed
+    decides, the damped mean of ``bad`` over its outgoing links.  ``good`` is the
+    same with trust over its incoming links.  Neither depends on how many others
+    link to the same host, and no host falls below its own seed.
+    """
+    folder = shared_folder(seeds.sparkSession, "shares")
+    out = links.groupBy("src").agg(F.sum("links").alias("n"))
+    into = links.groupBy("dst").agg(F.sum("links").alias("n"))
+    follow = links.join(out, "src").select(
+        F.col("dst").alias("from"), F.col("src").alias("host"), F.lit(0.0).alias("g"), (F.col("links") / F.col("n")).alias("b")
+    )
+    back = links.join(into, "dst").select(
+        F.col("src").alias("from"), F.col("dst").alias("host"), (F.col("links") / F.col("n")).alias("g"), F.lit(0.0).alias("b")
+    )
+    steps = follow.unionByName(back).groupBy("from", "host").agg(F.sum("g").alias("g"), F.sum("b").alias("b"))
+    steps = stored(steps, folder, "steps")
+    nodes = seeds.unionByName(
+        steps.select("host", F.lit(0.0).alias("trust_seed"), F.lit(0.0).alias("distrust_seed")).distinct()
+    ).groupBy("host").agg(F.sum("trust_seed").alias("trust_seed"), F.sum("distrust_seed").alias("distrust_seed"))
+    state = nodes.withColumn("good", F.col("trust_seed")).withColumn("bad", F.col("distrust_seed"))
+    state = stored(state, folder, "round-0")
+    undecided = damping * F.greatest(F.lit(0.0), 1 - F.col("trust_seed") - F.col("distrust_seed"))
+    for number in range(1, rounds + 1):
+        arrived = (
+            steps.join(state.select(F.col("host").alias("from"), "good", "bad"), "from")
+            .groupBy("host").agg(F.sum(F.col("good") * F.col("g")).alias("in_g"), F.sum(F.col("bad") * F.col("b")).alias("in_b"))
+        )
+        good = F.col("trust_seed") + undecided * F.coalesce("in_g", F.lit(0.0))
+        bad = F.col("distrust_seed") + undecided * F.coalesce("in_b", F.lit(0.0))
+        new = state.join(arrived, "host", "left").select(
+            "host", "trust_seed", "distrust_seed", good.alias("good"), bad.alias("bad"),
+            F.greatest(F.abs(good - F.col("good")), F.abs(bad - F.col("bad"))).alias("change"),
+        )
+        new = stored(new, folder, f"round-{number}")
+        change = float(new.agg(F.max("change")).first()[0] or 0.0)
+        state = new.drop("change")
+        if change <= TOLERANCE:
+            break
+    return state.select("host", "good", "bad")
+
+
 def filter_urls(
     pages: DataFrame,
     rules: tuple[Rule, ...] = RULES,
@@ -171,6 +221,7 @@ def filter_urls(
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) of every row.
 
+    ``trust`` and ``distrust`` are the host's PageRank masses; ``margin`` is for the shares of judged_shares().
     A null url, or one without ``://``, has an empty host: no rule fits, it takes no part in the graph, and
     it is allowed with trust and distrust of zero.  A null html has no links;
     repeated rows count as often as they come; an empty table gives no rows;
@@ -184,9 +235,10 @@ def filter_urls(
         judged.where("host <> ''").groupBy("host").agg(share("allow").alias("trust_seed"), share("block").alias("distrust_seed")),
         folder, "seeds",
     )
-    links = stored(host_links(judged), folder, "links")
-    scores = stored(propagate(seeds, links, damping, rounds), folder, "scores")
-    method = F.when(F.col("distrust") - F.col("trust") >= margin, "block").otherwise("allow")
+    links = stored(host_links(judged).where("src <> dst"), folder, "links")
+    ranks = propagate(seeds, links, damping, rounds)
+    scores = stored(ranks.join(judged_shares(seeds, links, damping, rounds), "host"), folder, "scores")
+    method = F.when(F.col("bad") - F.col("good") >= margin, "block").otherwise("allow")
     return judged.drop("html").join(broadcast_if_small(scores), "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("rule_verdict", method).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"),

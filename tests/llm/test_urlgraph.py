@@ -79,6 +79,20 @@ def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
     assert U.filter_urls(frame.limit(0)).collect() == []
 
 
+def test_links_to_blocked_hosts_at_the_default_margin(spark):
+    """Several linkers, and the blocked host's own links, neither clear a linker nor the blocked host."""
+    inner = '<a href="/es/q">' * 99
+    bad = [(i, "http://bad.net/es/p", inner) for i in range(3)] + [(3, "http://bad.net/other", inner)]
+    full = [(4, "http://worse.net/fr/", inner)]
+    farms = [(10 + i, f"http://farm{i}.org/x", '<a href="http://worse.net/"><a href="/y">') for i in range(5)]
+    mixed = [(20, "http://mixed.org/x", '<a href="http://worse.net/">' + '<a href="http://plain.org/">' * 9)]
+    plain = [(21, "http://plain.org/x", None), (22, "http://lone.org/x", '<a href="http://bad.net/">')]
+    frame = spark.createDataFrame(bad + full + farms + mixed + plain, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in U.filter_urls(frame, rounds=4).collect()}
+    assert got == {k: "allow" if k in (20, 21) else "block" for k in got}
+    assert len(got) == 13
+
+
 def test_every_page_is_judged(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = U.op1_url_filter(spark, sf_dir)
