@@ -25,8 +25,6 @@ from tallymart.llm.util import table, text_slices
 
 #: Most labelled rows that the classifier is fitted on: those with the smallest hash of their id.
 SAMPLE_ROWS = 4_000
-#: Of a training text at most so many characters are read (scoring reads whole texts).
-SAMPLE_CHARS = 8_000
 BITS = 15
 CHAR_GRAMS = (2, 3, 4)
 #: A text is kept if its calibrated probability of good quality is at least this.
@@ -134,6 +132,15 @@ def gram_buckets(text: str) -> list[np.ndarray]:
     return [g.astype(np.int32) for g in groups]
 
 
+def gram_vector(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Buckets and their shares of a whole text, a pair for each group: at most 2 ** BITS entries each."""
+    row = []
+    for buckets in gram_buckets(text):
+        at, count = np.unique(buckets, return_counts=True)
+        row.append((at.astype(np.int16), (count / max(1, len(buckets))).astype(np.float32)))
+    return row
+
+
 @dataclass(frozen=True)
 class QualityModel:
     """Weights by group and bucket, a bias, and the line that calibrates the raw score."""
@@ -160,6 +167,10 @@ def _sigmoid(x):
 
 
 def train(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0.5) -> QualityModel:
+    return train_vectors([gram_vector(text) for text in texts], labels, epochs, rate)
+
+
+def train_vectors(rows: list, labels: list[int], epochs: int = 12, rate: float = 0.5) -> QualityModel:
     """Logistic regression by AdaGrad over single rows in a fixed order, then Platt's calibration.
 
     A fifth of the rows is held out of the weights and only fits the calibration.
@@ -169,13 +180,6 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0
     if not len(y) or y.min() == y.max():
         constant = float(y[0]) if len(y) else 1.0
         return QualityModel(np.zeros((GROUPS, 1 << BITS)), 0.0, 0.0, 4.0 if constant else -4.0)
-    rows = []
-    for text in texts:
-        row = []
-        for buckets in gram_buckets(text):
-            at, count = np.unique(buckets, return_counts=True)
-            row.append((at, (count / max(1, len(buckets))).astype(np.float32)))
-        rows.append(row)
     order = np.random.default_rng(7).permutation(len(rows))
     held = order[: len(rows) // 5]
     fit = order[len(rows) // 5 :]
@@ -227,26 +231,46 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Q
 
     Half of the bound is given to each class, in the order of a hash of the id,
     so the choice depends on neither partitions nor size.  Labels without a
-    document, null labels and null ids are left out; of repeated rows one counts.
+    document, null labels and null ids are left out; of repeated rows one counts,
+    and takes one place of the bound.  Whole texts are counted in tasks; the
+    driver gets a text's shares of the buckets.
     """
     wanted = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
     )
     half = max(1, sample_rows // 2)
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     chosen = wanted.where("quality = 0").orderBy(*order).limit(half)
     chosen = chosen.unionByName(wanted.where("quality = 1").orderBy(*order).limit(half))
-    text = F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, SAMPLE_CHARS)
-    ids = chosen.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sample = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-        .join(F.broadcast(ids), "doc_id")  # at most sample_rows ids
-        .toPandas()
-        .sort_values(["doc_id", "text"])
-        .drop_duplicates("doc_id")
+        .join(F.broadcast(chosen), "doc_id")  # at most sample_rows ids
+        .groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     )
-    return train(sample["text"].tolist(), sample["quality"].tolist())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            for i, whole in enumerate(batch.column("text").to_pylist()):
+                row = gram_vector(whole)
+                columns = [
+                    batch.column("doc_id").slice(i, 1), batch.column("quality").slice(i, 1),
+                    pa.array([[len(at) for at, _ in row]], pa.list_(pa.int32())),
+                    pa.array([b"".join(at.tobytes() for at, _ in row)], pa.binary()),
+                    pa.array([b"".join(x.tobytes() for _, x in row)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality", "sizes", "places", "shares"])
+
+    kinds = "doc_id long, quality int, sizes array<int>, places binary, shares binary"
+    rows = {}
+    for r in sample.mapInArrow(count, kinds).toLocalIterator():
+        ends = np.cumsum(r["sizes"])[:-1]
+        places, shares = np.frombuffer(r["places"], np.int16), np.frombuffer(r["shares"], np.float32)
+        rows[r["doc_id"]] = (list(zip(np.split(places, ends), np.split(shares, ends))), r["quality"])
+    ordered = [rows[doc_id] for doc_id in sorted(rows)]
+    return train_vectors([row for row, _ in ordered], [label for _, label in ordered])
 
 
 # ------------------------------------------------------------------ DataFrames

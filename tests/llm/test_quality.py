@@ -55,3 +55,17 @@ def test_fit_without_two_classes_or_documents(spark, docs):
     labels = spark.createDataFrame([(1, 1, 0), (None, 0, 0), (9, 0, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
     assert quality.fit(frame, labels).probability("anything") > 0.9
     assert quality.fit(frame, labels.limit(0)).probability(None) > 0.9
+
+
+def test_fit_reads_whole_texts_and_distinct_labels(spark, docs, monkeypatch):
+    """Texts that differ only after a long common start are told apart; copies take no place of the sample."""
+    start = " ".join(f"w{i}" for i in range(2_000))
+    good, bad = (start + f" {word} line" * 400 for word in ("fine", "spam"))
+    frame = docs(*[(i, bad if i % 2 else good) for i in range(40)], (0, good), (1, bad))
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(40)] * 3, "doc_id long, quality int, toxic int")
+    model = quality.fit(frame, labels)
+    assert model.probability(good) > 0.5 > model.probability(bad)
+    sizes = []
+    monkeypatch.setattr(quality, "train_vectors", lambda rows, labels: sizes.append((len(rows), sum(labels))))
+    quality.fit(frame, labels, sample_rows=8)
+    assert sizes == [(8, 4)]
