@@ -33,7 +33,7 @@ class RunOptions:
     """``drop_duplicates`` removes equal rows among the good ones.  With
     ``business_keys`` a key has one row: within a run the first in the order of
     ``latest_first`` (columns, the largest value first), over batches the one
-    that was published first, looked for in the months that the batch touches.
+    that was published first, in whatever month.
     ``export`` adds one sorted CSV file per mart and one for the run's metrics;
     ``silver_csv`` adds silver as CSV."""
 
@@ -159,13 +159,13 @@ def _one_per_key(
     if batch_id is None:
         return silver
     kinds = {f.name: f for f in silver.schema}
-    period = [k for k in writers.PERIOD if k not in keys]
-    schema = T.StructType([*[kinds[k] for k in [*keys, *period]], T.StructField("batch_id", T.StringType())])
+    schema = T.StructType([*[kinds[k] for k in keys], T.StructField("batch_id", T.StringType())])
     before = read_optional(silver.sparkSession, paths.silver_batches, schema)
     if before is None:
         return silver
-    others = before.where(F.col("batch_id") != batch_id).select(*keys, *period)
-    return silver.join(others, [*keys, *period], "left_anti")
+    # the key columns of all earlier batches: a corrected date must not publish a key again
+    others = before.where(F.col("batch_id") != batch_id).select(*keys)
+    return silver.join(others, keys, "left_anti")
 
 
 def _publish(

@@ -139,6 +139,16 @@ def test_business_keys_within_and_across_batches(spark, lake, tmp_path):
     assert duplicates == {"b1": (3, 1), "b2": (3, 2), "b3": (1, 1)}
 
 
+def test_business_keys_across_months(spark, lake, tmp_path):
+    for name, lines in (("a", [line(1, sales="1"), line(2)]), ("b", [line(1, "3/9/2012", "5"), line(3, "3/9/2012")])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.csv").write_text(HEADER + "".join(lines))
+        run_batch(spark, str(tmp_path / name), lake, RunOptions(business_keys=("order_id",)), batch_id=name)
+    rows = [(r["order_id"], r["sales_clean"]) for r in spark.read.parquet(lake.silver_batches).collect()]
+    assert sorted(rows) == [("1", Decimal(1)), ("2", Decimal("10.5")), ("3", Decimal("10.5"))]
+    assert marts.read_gold_batches(spark, lake, "monthly_revenue").agg(F.sum("total_sales")).first()[0] == Decimal(22)
+
+
 def test_replay_and_failure_in_the_audit(spark, lake, raw, monkeypatch):
     path = raw("a.csv", [line(i) for i in range(3)])
     for _ in range(2):
