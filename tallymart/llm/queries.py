@@ -7,6 +7,7 @@ from tallymart.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
 from tallymart.llm.html_text import op4_html_extraction
 from tallymart.llm.lm import op7_lm_scoring
 from tallymart.llm.merkle import OP13_SQL, op13_merkle_manifest
+from tallymart.llm.negatives import OP12_SQL, op12_hard_negatives
 from tallymart.llm.packing import op3_packing
 from tallymart.llm.quality import op9_quality_rules
 from tallymart.llm.sharding import op8_hilbert_sharding
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -32,5 +34,6 @@ ORACLES: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
     "op10_warc": OP10_SQL,
+    "op12_hard_negatives": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
