@@ -10,6 +10,7 @@ from tallymart.llm.merkle import OP13_SQL, op13_merkle_manifest
 from tallymart.llm.negatives import OP12_SQL, op12_hard_negatives
 from tallymart.llm.packing import op3_packing
 from tallymart.llm.quality import op9_quality_rules
+from tallymart.llm.sanitise import op11_pii_disclosure
 from tallymart.llm.sharding import op8_hilbert_sharding
 from tallymart.llm.simhash import op6_simhash_near_dedup
 from tallymart.llm.urlgraph import op1_url_filter
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
+    "op11_pii_disclosure": op11_pii_disclosure,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

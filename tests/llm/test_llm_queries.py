@@ -1,4 +1,4 @@
-"""The registered queries: all ten are there, and those with a SQL twin agree with it."""
+"""The registered queries: all thirteen are there, and those with a SQL twin agree with it."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from tallymart.llm.queries import ORACLES, QUERIES
 def test_all_are_registered():
     names = contract.queries()
     assert "pipeline" in names
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(ORACLES) <= set(QUERIES)
 
 
