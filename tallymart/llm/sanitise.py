@@ -303,17 +303,19 @@ def personal_spans(docs: DataFrame, kept: list[str]) -> DataFrame:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced: ``[kind]`` for data and generalised terms, nothing for removed ones."""
     base, near = fresh_names(docs, "base_spans", "term_spans")
-    shape = docs.schema
-    cleaned = F.udf(_replaced, "string")
-    found = personal_spans(docs, docs.columns)
-    some = (F.size(base) > 0) | (F.size(near) > 0)
-    text = F.col("text").cast("string")
-    return found.select(
-        *[
-            F.when(some, cleaned(text, base, near)).otherwise(text).alias("text") if c == "text" else F.col(c)
-            for c in shape.names
-        ]
-    )
+    found = personal_spans(docs, docs.columns).withColumn("text", F.col("text").cast("string"))
+    shape = T.StructType([found.schema[c] for c in docs.columns])
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            spans = zip(part.column(base).to_pylist(), part.column(near).to_pylist())
+            texts = [
+                _replaced(text, *two) if text else text for text, two in zip(part.column("text").to_pylist(), spans)
+            ]
+            columns = [pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in shape.names]
+            yield pa.RecordBatch.from_arrays(columns, shape.names)
+
+    return found.mapInArrow(lambda batches: replace(batches), shape)
 
 
 def _replaced(text: str, base: list, near: list) -> str:
