@@ -287,7 +287,9 @@ def fingerprint_classes(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFr
 def near_duplicate_groups(
     docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """(doc_id, text_hash, fingerprint, component_id) of every row.
+    """(doc_id, text_hash, fingerprint, component_id, class) of every row.
+
+    ``class`` tells groups apart that have one smallest doc_id, as ids may repeat.
 
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``max_bits`` unlike bits.  A null or empty text has fingerprint zero and is
@@ -306,12 +308,13 @@ def near_duplicate_groups(
     least = spark.read.schema("fp long, least long").parquet(f"{folder}/least")
     classes = least.join(fingerprint_classes(least.select("fp"), max_bits), "fp")
     roots = classes.groupBy("class").agg(F.min("least").alias("component_id"))
-    labels = classes.join(roots, "class").select("fp", "component_id")
+    labels = classes.join(roots, "class").select("fp", "component_id", "class")
     return signed.join(labels, "fp", "left").select(
         "doc_id",
         "text_hash",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
+        "class",
     )
 
 
@@ -321,20 +324,23 @@ def drop_near_duplicates(
     """One row of each near-duplicate group, the one with the smallest doc_id, with all columns.
 
     Rows with a null doc_id belong to no group and stay.  Of rows with equal id
-    and text one stays; of equal ids with unlike texts, one.  Other columns may
-    have any names.
+    and text one stays, the first by a hash of their other columns; an id that
+    comes with unlike texts may stay for several groups.  Other columns may have
+    any names.
     """
     own_id, own_text, number = fresh_names(docs, "_id", "_text", "_n")
     groups = near_duplicate_groups(docs, size, max_bits).where("doc_id = component_id")
-    kept = groups.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
-    kept = kept.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_text))
+    kept = groups.groupBy("class").agg(F.min("doc_id").alias(own_id), F.min("text_hash").alias(own_text))
+    kept = kept.select(own_id, own_text)
     # equality of the texts as a range: the join deals rows by doc_id alone, and so
     # the window needs no second shuffle of the texts
-    same_text = F.xxhash64(F.col("text").cast("string")).between(F.col(own_text), F.col(own_text))
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    same_text = text_hash.between(F.col(own_text), F.col(own_text))
     named = docs.where("doc_id is not null").join(
         kept, (F.col("doc_id").cast("long") == F.col(own_id)) & same_text, "left_semi"
     )
-    order = Window.partitionBy(F.col("doc_id").cast("long")).orderBy(F.lit(0))
+    rest = [f.name for f in docs.schema if f.name != "text" and f.dataType.typeName() != "map"]
+    order = Window.partitionBy(F.col("doc_id").cast("long"), text_hash).orderBy(F.xxhash64(*rest))
     named = named.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).drop(number)
     return named.unionByName(docs.where("doc_id is null"))
 

@@ -89,12 +89,18 @@ def test_clashing_names_and_shuffles(docs):
     frame = docs((1, "a b c"), (2, "a b c"), (1, "a b c"), (1, "other text"), (None, "x"), extra=("_id", "_TEXT", "_n", "__n", "fp"))
     kept = simhash.drop_near_duplicates(frame)
     assert kept.columns == frame.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 1]
     plan = kept._jdf.queryExecution().executedPlan().toString()
     between = plan.split("Window ", 1)[1].split("Join ", 1)[0]
     assert "Exchange" not in between
 
 
+def test_an_id_with_unlike_texts_keeps_both_groups(docs):
+    one, two = (" ".join(f"{w}{i}" for i in range(300)) for w in "ab")
+    kept = simhash.drop_near_duplicates(docs((1, one), (1, two), (2, two), (3, one), (1, two)))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, one), (1, two)]
+
+
 def test_whole_table_against_all_pairs(spark, sf_dir):
     rows = simhash.op6_simhash_near_dedup(spark, sf_dir).collect()
     fps = {r.doc_id: int(r.fingerprint, 16) for r in rows}
