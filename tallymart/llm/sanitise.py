@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 import string
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -195,26 +196,38 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string").alias("text"))
 
 
-def _each_text(docs: DataFrame, rows_of: Callable[[str], Iterator[tuple]], schema: T.StructType) -> DataFrame:
-    """The rows that ``rows_of`` gives for each text."""
+def _each_slice(
+    docs: DataFrame, rows_of: Callable[[list[str]], Iterator[tuple]], schema: T.StructType
+) -> DataFrame:
+    """The rows that ``rows_of`` gives for the texts of each slice."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            rows = [row for text in part.column("text").to_pylist() if text for row in rows_of(text)]
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)] if rows else None
-            if columns:
+            rows = list(rows_of([t for t in part.column("text").to_pylist() if t]))
+            if rows:
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return _texts(docs).mapInArrow(lambda batches: read(batches), schema)
 
 
+def _all_neighbours(texts: list[str]) -> Iterator[tuple[str | None, str, int | None]]:
+    return (row for text in texts for row in neighbours(text))
+
+
+def _counted(texts: list[str], bits: bytes) -> Iterator[tuple[str, int]]:
+    """(term, texts that hold it) for the terms that pass the filter."""
+    counts = Counter(t for text in texts for t in possible(text, bits))
+    return ((t.decode(), n) for t, n in counts.items())
+
+
 def disclosing_terms(docs: DataFrame, folder: str) -> DataFrame:
     """Stored (term, kind, disclosure): terms over the thresholds, with their most disclosed entity's kind."""
     found = T.StructType().add("term", "string").add("entity", "string").add("around", "long")
-    near = stored(_each_text(docs, neighbours, found), folder, "neighbours")
+    near = stored(_each_slice(docs, _all_neighbours, found), folder, "neighbours")
     held = near.where("term is null").groupBy("entity").agg(F.count("*").alias("n_entity"))
     joint = (
         near.where("term is not null")
@@ -227,10 +240,10 @@ def disclosing_terms(docs: DataFrame, folder: str) -> DataFrame:
     joint = stored(joint.join(held, "entity"), folder, "joint")
     candidates = stored(joint.select("term").distinct(), folder, "candidates")
     bits = term_filter(candidates).tobytes()
-    one = T.StructType().add("term", "string")
-    seen = _each_text(docs, lambda text: ((t.decode(),) for t in possible(text, bits)), one)
-    counts = seen.groupBy("term").agg(F.count("*").alias("n_term"))
-    counts = stored(counts.join(broadcast_if_small(candidates), "term", "left_semi"), folder, "counts")
+    part = T.StructType().add("term", "string").add("n", "long")
+    seen = _each_slice(docs, lambda texts: _counted(texts, bits), part)
+    # added up before the join, which then meets each term once
+    counts = stored(seen.groupBy("term").agg(F.sum("n").alias("n_term")), folder, "counts")
 
     total = F.lit(float(docs.count()))
     pmi = F.log(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
