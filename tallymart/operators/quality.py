@@ -50,8 +50,9 @@ def reject_reasons(
     date: str = "order_date",
     amount: str = "sales_clean",
     date_range: tuple | None = None,
+    keys: tuple[str, ...] = (),
 ) -> Column:
-    """Names of the rules a row breaks; empty for a good row."""
+    """Names of the rules a row breaks; empty for a good row.  No column of ``keys`` may be NULL."""
     rules = {
         "missing_order_date": F.col(date).isNull(),
         "missing_sales": F.col(amount).isNull(),
@@ -60,6 +61,7 @@ def reject_reasons(
     if date_range is not None:
         first, last = map(F.lit, date_range)
         rules["order_date_out_of_range"] = ~F.col(date).between(first, last)
+    rules.update({f"missing_{key}": F.col(key).isNull() for key in keys if f"missing_{key}" not in rules})
     if CORRUPT in columns:
         rules["corrupt_record"] = F.col(CORRUPT).isNotNull()
     return F.array_compact(F.array(*[F.when(broken, name) for name, broken in rules.items()]))
@@ -70,9 +72,10 @@ def classify(
     date: str = "order_date",
     amount: str = "sales_clean",
     date_range: tuple | None = None,
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """``df`` with the rules each row breaks.  A row of the wrong width is a reject."""
-    return df.withColumn(REASONS, reject_reasons(df.columns, date, amount, date_range))
+    return df.withColumn(REASONS, reject_reasons(df.columns, date, amount, date_range, keys))
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -33,7 +33,8 @@ class RunOptions:
     """``drop_duplicates`` removes equal rows among the good ones.  With
     ``business_keys`` a key has one row: within a run the first in the order of
     ``latest_first`` (columns, the largest value first), over batches the one
-    that was published first, in whatever month.
+    that was published first, in whatever month.  A row without its key cannot
+    be told from others: it is a reject (``missing_<column>``) and counts for the gate.
     ``export`` adds one sorted CSV file per mart and one for the run's metrics;
     ``silver_csv`` adds silver as CSV."""
 
@@ -115,7 +116,7 @@ def process(
         )
 
     cleaned = clean_orders(bronze, options.contract, options.names)
-    classified = classify(cleaned, date_range=options.contract.date_range)
+    classified = classify(cleaned, date_range=options.contract.date_range, keys=options.business_keys)
     folder = paths.staging(f"run-{run_id}")
     metrics = RunMetrics(0, 0)
     try:

@@ -139,6 +139,18 @@ def test_business_keys_within_and_across_batches(spark, lake, tmp_path):
     assert duplicates == {"b1": (3, 1), "b2": (3, 2), "b3": (1, 1)}
 
 
+def test_rows_without_their_key_are_rejects(spark, lake, tmp_path):
+    (tmp_path / "f.csv").write_text(HEADER + "".join([line(1), line("", sales="5"), line("", sales="7")]))
+    options = RunOptions(business_keys=("order_id",), max_bad_fraction=0.7)
+    for batch in ("b1", "b2"):  # delivered again, nothing is published
+        run_batch(spark, str(tmp_path / "f.csv"), lake, options, run_id=batch, batch_id=batch)
+    assert [r["order_id"] for r in spark.read.parquet(lake.silver_batches).collect()] == ["1"]
+    rejects = spark.read.parquet(lake.quarantine).collect()
+    assert sorted((r["sales"], r["reject_reasons"][0]) for r in rejects) == 2 * [("5", "missing_order_id")] + 2 * [
+        ("7", "missing_order_id")
+    ]
+
+
 def test_business_keys_across_months(spark, lake, tmp_path):
     for name, lines in (("a", [line(1, sales="1"), line(2)]), ("b", [line(1, "3/9/2012", "5"), line(3, "3/9/2012")])):
         (tmp_path / name).mkdir()
