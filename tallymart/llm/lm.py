@@ -78,7 +78,7 @@ def unmix(x: np.ndarray) -> np.ndarray:
 
 
 def merged(parts: list[np.ndarray], key: str) -> np.ndarray:
-    """Entries with equal keys added up, sorted by key."""
+    """Entries with equal keys added up, sorted by key.  A sum beyond its field is an error, never cut."""
     rows = np.concatenate(parts)
     rows = rows[np.argsort(rows[key], kind="stable")]
     if not len(rows):
@@ -89,7 +89,9 @@ def merged(parts: list[np.ndarray], key: str) -> np.ndarray:
         if name != key:
             limit = np.iinfo(out.dtype[name]).max
             sums = np.add.reduceat(rows[name].astype(np.uint64), starts)
-            out[name] = np.minimum(sums, np.uint64(limit))
+            if sums.max() > limit:
+                raise OverflowError(f"a merged {name} of {sums.max()} is beyond {limit}")
+            out[name] = sums
     return out
 
 

@@ -91,6 +91,8 @@ def test_arrays():
     assert (L.unmix(L.mix(x)) == x).all()
     assert L.discounts((0, 0, 0, 0)).tolist() == [0, 0.5, 0.5, 0.5]
     rows = np.zeros(4, L.PAIR)
-    rows["key"], rows["count"] = [5, 1, 5, 1 << 63], [1, 2, (1 << 32) - 1, 1]
+    rows["key"], rows["count"] = [5, 1, 5, 1 << 63], [1, 2, (1 << 32) - 2, 1]
     assert L.merged([rows], "key")["count"].tolist() == [2, (1 << 32) - 1, 1]
+    with pytest.raises(OverflowError):
+        L.merged([rows, rows], "key")
     assert [p for p, _ in L.split_ranges(L.merged([rows], "key"), 4)] == [0, 2]
