@@ -440,6 +440,16 @@ ORACLES: dict[str, str] = {
         "PARTITION BY order_id, line_number ORDER BY sales_clean DESC) AS n FROM kept) "
         "WHERE n = 1 GROUP BY year, month",
     ),
+    "ingest_corrected_rows": _with(
+        CLEAN,
+        f"SELECT year, month, {_total('sales_clean')} AS total_sales FROM ("
+        "SELECT year, month, sales_clean FROM (SELECT *, row_number() OVER ("
+        "PARTITION BY order_id, line_number ORDER BY sales_clean DESC) AS n FROM kept) "
+        "WHERE n = 1 AND (order_id + line_number) % 7 <> 3 UNION ALL "
+        "SELECT year, month, sales_clean FROM (SELECT DISTINCT order_id, line_number, year, "
+        "CAST(7 AS BIGINT) AS month, CAST(line_number + 0.5 AS DECIMAL(18,4)) AS sales_clean FROM fact "
+        "WHERE (order_id + line_number) % 7 = 3)) GROUP BY year, month",
+    ),
     "audit_after_replay": _with(
         CLEAN,
         "SELECT 'again' AS run_id, 'SUCCEEDED' AS status, count(*) AS row_in, "

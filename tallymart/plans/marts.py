@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymart.contract import AUDIT_SCHEMA, gold_schema
 from tallymart.operators.aggregates import monthly_revenue, roll_up
+from tallymart.plans.corrections import published, read_log
 from tallymart.sources.paths import LakePaths
 from tallymart.sources.readers import read_optional
 
@@ -44,11 +45,20 @@ def read_gold_batches(
     """Gold over all ingested batches.
 
     Each batch stores its own sums, so a new batch costs what it brings and a
-    late file for an old month needs no re-read of that month.
+    late file for an old month needs no re-read of that month.  Where batches
+    correct earlier ones their sums are differences, and a group whose rows are
+    all gone is left out.
     """
-    schema = gold_schema(dims).add("batch_id", "string")
+    schema = gold_schema(dims).add("n_rows", "long").add("batch_id", "string")
     partial = read_optional(spark, paths.gold_batches(mart), schema)
-    return None if partial is None else roll_up(partial, *dims)
+    if partial is None:
+        return None
+    if read_log(spark, paths) is None:
+        return roll_up(partial, *dims)
+    sums = published(partial, paths).groupBy("year", "month", *dims).agg(
+        F.sum("total_sales").alias("total_sales"), F.sum("n_rows").alias("_n")
+    )
+    return sums.where("_n > 0").drop("_n")
 
 
 def register_views(

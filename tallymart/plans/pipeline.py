@@ -19,6 +19,7 @@ from tallymart.operators.quality import (
     check_gate,
     classify,
 )
+from tallymart.plans import corrections
 from tallymart.plans.marts import MARTS, available_marts, base_aggregate, mart_tables
 from tallymart.session import remove_path, written
 from tallymart.sources import writers
@@ -33,7 +34,10 @@ class RunOptions:
     """``drop_duplicates`` removes equal rows among the good ones.  With
     ``business_keys`` a key has one row: within a run the first in the order of
     ``latest_first`` (columns, the largest value first), over batches the one
-    that was published first, in whatever month.  A row without its key cannot
+    that was published first, in whatever month; with ``corrections`` the one
+    that was published last, and gold changes by the difference (see
+    ``plans.corrections``; ``key_buckets`` is the key table's number of buckets, fixed
+    by a lake's first batch).  A row without its key cannot
     be told from others: it is a reject (``missing_<column>``) and counts for the gate.
     ``export`` adds one sorted CSV file per mart and one for the run's metrics;
     ``silver_csv`` adds silver as CSV."""
@@ -47,6 +51,8 @@ class RunOptions:
     drop_duplicates: bool = False
     business_keys: tuple[str, ...] = ()
     latest_first: tuple[str, ...] = ("order_date", "sales_clean")
+    corrections: bool = False
+    key_buckets: int = 16
     marts: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(MARTS))
     export: bool = False
     silver_csv: bool = False
@@ -96,6 +102,11 @@ def process(
     """
     spark = bronze.sparkSession
     started = datetime.now(timezone.utc)
+    corrects = options.corrections and batch_id is not None
+    if corrects and not options.business_keys:
+        raise ValueError("corrections need business keys")
+    if batch_id is not None and not corrects and corrections.read_log(spark, paths) is not None:
+        raise ValueError(f"{paths.root} has a key table: add batches with corrections")
 
     def audit(status: str, metrics: RunMetrics, duplicates: int | None = None) -> None:
         writers.write_audit(
@@ -134,9 +145,12 @@ def process(
         if options.drop_duplicates:
             good = dedupe_exact(good)
         silver = silver_columns(good, options.contract)
-        if options.business_keys:
-            silver = _one_per_key(silver, paths, options, batch_id)
-        marts, published = _publish(silver, paths, options, folder, batch_id)
+        if corrects:
+            marts, published = _publish_corrections(silver, paths, options, folder, batch_id)
+        else:
+            if options.business_keys:
+                silver = _one_per_key(silver, paths, options, batch_id)
+            marts, published = _publish(silver, paths, options, folder, batch_id)
         audit("SUCCEEDED", metrics, metrics.row_good - published)
     except QualityGateError:
         raise
@@ -150,13 +164,36 @@ def process(
     return RunResult(run_id, "SUCCEEDED", metrics, tuple(marts))
 
 
+def _key_order(silver: DataFrame, options: RunOptions) -> list:
+    """Which row of a key comes first within a batch; no ties but between equal rows."""
+    rest = sorted(set(silver.columns) - set(options.business_keys) - set(options.latest_first))
+    return [*[F.desc_nulls_last(c) for c in options.latest_first if c in silver.columns], *rest]
+
+
+def _publish_corrections(
+    silver: DataFrame, paths: LakePaths, options: RunOptions, folder: str, batch_id: str
+) -> tuple[list[str], int]:
+    """One batch whose rows replace earlier ones of their keys; the log's line makes it count."""
+    spark = silver.sparkSession
+    turn = corrections.take_turn(spark, paths, batch_id, options.key_buckets)
+    dims = list(dict.fromkeys(d for mart in options.marts.values() for d in mart))
+    keys = list(options.business_keys)
+    changed = corrections.changed_rows(silver, paths, keys, _key_order(silver, options), dims, turn, folder)
+    rows = changed.select(*silver.columns).withColumn("batch_id", F.lit(batch_id))
+    writers.write_batch(rows, paths.silver_batches, writers.PERIOD)
+    if options.silver_csv:
+        writers.write_silver_csv(rows, paths.export(f"silver-{batch_id}"))
+    for name, table in corrections.signed_marts(changed, options.marts, dims, folder).items():
+        writers.write_batch(table.withColumn("batch_id", F.lit(batch_id)), paths.gold_batches(name))
+    corrections.publish_turn(spark, paths, turn)
+    return list(options.marts), changed.count()
+
+
 def _one_per_key(
     silver: DataFrame, paths: LakePaths, options: RunOptions, batch_id: str | None
 ) -> DataFrame:
     keys = list(options.business_keys)
-    rest = sorted(set(silver.columns) - set(keys) - set(options.latest_first))
-    order = [F.desc_nulls_last(c) for c in options.latest_first if c in silver.columns]
-    silver = dedupe_latest(silver, keys, [*order, *rest])
+    silver = dedupe_latest(silver, keys, _key_order(silver, options))
     if batch_id is None:
         return silver
     kinds = {f.name: f for f in silver.schema}

@@ -95,6 +95,11 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through Spark's own file system layer, wherever it lives."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -36,6 +36,18 @@ class LakePaths:
     def silver_batches(self) -> str:
         return self._under("silver", "orders_by_batch")
 
+    @property
+    def keys(self) -> str:
+        return self._under("state", "keys")
+
+    @property
+    def key_log(self) -> str:
+        return self._under("state", "batches")
+
+    @property
+    def retracted(self) -> str:
+        return self._under("state", "retracted")
+
     @property
     def quarantine(self) -> str:
         return self._under("quarantine", "orders")
