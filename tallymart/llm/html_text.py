@@ -2,10 +2,18 @@
 
 A tree is built with the tags that authors leave out: items, cells, rows and
 paragraphs end where the next one starts, a head ends where the body's content starts, a
-cell without a row gets one.  What is never shown is skipped (head, scripts,
-templates, ``hidden``, ``display:none`` and ``visibility:hidden``).  The rest is written with
+cell without a row gets one.  What is not shown is skipped: head, scripts,
+templates, ``hidden``, ``display:none``, closed dialogs and all but the summary of closed
+details, and what is ``visibility:hidden`` by inheritance.  A select shows its chosen
+option, or all if it is a list box; a field or button its value.  The rest is written with
 blank lines between paragraphs, markers and indents for lists, kept white space
-in ``pre``, and cells padded to columns in tables.
+in ``pre``, and tables in columns.
+
+A cell is a block of lines of its own: paragraphs, lists and tables in it keep
+their layout.  A table with one column is running text.  A column is as wide as its
+widest line, unless padding would outweigh the table's text ``PADDING`` times:
+then the widest lines run on, and what stands right of them goes to the next
+line, in its own column.
 """
 
 from __future__ import annotations
@@ -26,13 +34,18 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HEAD = frozenset("base link meta noscript script style template title head".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe noembed noframes object audio video canvas svg math "
-    "datalist select param source track".split()
+    "head script style template noscript title iframe noembed noframes object audio video canvas "
+    "datalist param source track".split()
+)
+#: Parts of drawings and formulas that are not drawn where they stand.
+UNDRAWN = frozenset(
+    "annotation annotation-xml clippath defs desc filter lineargradient marker mask metadata pattern radialgradient symbol".split()
 )
+FOREIGN = ("svg", "math")
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure dl ul ol".split())
 BLOCK = SPACED | frozenset(
     "address article aside body caption center details dialog dd dir div dt fieldset figcaption footer form header "
-    "hgroup hr html legend li main menu nav optgroup option search section summary table tbody tfoot thead tr".split()
+    "hgroup hr html legend li main menu nav search section summary table tbody tfoot thead tr".split()
 )
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
 #: A start tag ends these open elements, as far up as the first of the others.
@@ -45,31 +58,49 @@ ENDS = {
     "tr": (("tr",), frozenset(("table",))),
     **{g: (("thead", "tbody", "tfoot", "caption", "colgroup"), frozenset(("table",))) for g in ("thead", "tbody", "tfoot")},
     "option": (("option",), frozenset(("select", "datalist"))),
+    "optgroup": (("optgroup", "option"), frozenset(("select", "datalist"))),
+    "select": (("select",), frozenset(("table",))),
 }
+#: Inputs that show neither their value nor a placeholder.
+WORDLESS = frozenset("hidden checkbox radio password file image color range date time month week datetime-local".split())
 CELL = frozenset(("td", "th", "caption", "table"))
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)", re.DOTALL)
+MARKUP = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)", re.DOTALL)
 VALUE = r"""\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*"""
 #: From a tag's name to its end, without going back: quoted values may hold any sign.
 TAG_REST = re.compile(rf"(?:[\s/]+|[^\s/>=]+(?:\s*=\s*(?:{VALUE})?)?|=)*+>")
 ATTRIBUTE = re.compile(rf"([^\s/>=]+)(?:\s*=\s*({VALUE})?)?")
-NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.IGNORECASE)
+STYLE = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
 SPACE = re.compile(r"[ \t\n\r\f]+")
-#: Cells longer than this don't widen their column.
-COLUMN_CHARS = 40
-# Fixed value: the most columns that a cell may span.
-MOST_SPAN = 1000
+#: Padding of a table's columns as a multiple of its text, and how much any table may have.
+PADDING, FREE_PADDING = 8, 4096
+#: Tables of several columns within each other that are laid out in columns; deeper ones are running text.
+MOST_NESTED = 64
+# The most columns and rows that a cell may span.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 
 class Node:
-    __slots__ = ("tag", "children", "hidden", "attributes")
+    __slots__ = ("tag", "children", "hidden", "visibility", "attributes")
 
-    def __init__(self, tag: str, attributes: dict[str, str] | None = None):
+    def __init__(self, tag: str, attributes: dict[str, str] | None = None, foreign: bool = False):
         self.tag, self.children, self.attributes = tag, [], attributes or {}
-        self.hidden = tag in UNSEEN or "hidden" in self.attributes or bool(
-            NOT_SHOWN.search(self.attributes.get("style", ""))
+        style = {k.lower(): v.lower() for k, v in STYLE.findall(self.attributes.get("style", ""))}
+        self.visibility = style.get("visibility")
+        self.hidden = (
+            tag in UNSEEN
+            or (foreign and tag in UNDRAWN)
+            or "hidden" in self.attributes
+            or style.get("display") == "none"
+            or (tag == "dialog" and "open" not in self.attributes)
         )
 
+    def unseen(self, inherited: bool) -> bool:
+        """Whether text right below is invisible, where it is for the parent or is not."""
+        if self.visibility in ("hidden", "collapse"):
+            return True
+        return inherited and self.visibility != "visible"
+
 
 # ------------------------------------------------------------------ tree
 
@@ -94,7 +125,12 @@ def build_tree(html: str) -> Node:
             if tag in until:
                 return
 
-    def start(tag: str, attributes: dict[str, str]) -> None:
+    def foreign() -> bool:
+        return bool(opened["svg"] or opened["math"]) and not opened["foreignobject"]
+
+    def start(tag: str, attributes: dict[str, str], empty: bool = False) -> None:
+        while tag in BLOCK and foreign():  # blocks end drawings and formulas
+            close(FOREIGN, ())
         if opened["head"] and tag not in HEAD:
             close(("head",), ())
         if tag in ENDS:
@@ -105,9 +141,10 @@ def build_tree(html: str) -> Node:
                 close(("caption",), frozenset(("table",)))
         if tag in BLOCK:
             close(("p",), CELL | LISTS | {"li", "dd", "dt"})
-        node = Node(tag, attributes)
+        inside = foreign()
+        node = Node(tag, attributes, inside)
         stack[-1].children.append(node)
-        if tag not in VOID:
+        if tag not in VOID and not (empty and (inside or tag in FOREIGN)):
             stack.append(node)
             opened[tag] += 1
 
@@ -142,9 +179,11 @@ def build_tree(html: str) -> Node:
         attributes = {}
         if len(rest[0]) > 2:
             for key, value in ATTRIBUTE.findall(rest[0]):
-                attributes.setdefault(key.lower(), unescape(value.strip("\"'")))
-        start(name, attributes)
-        if name in RAW:
+                quoted = value[:1] in ("'", '"')
+                attributes.setdefault(key.lower(), unescape(value[1:-1] if quoted else value))
+        raw = name in RAW and not foreign()
+        start(name, attributes, rest[0].endswith("/>"))
+        if raw:
             end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(html, at)
             stop = end.start() if end else size
             text(html[at:stop])
@@ -239,40 +278,69 @@ class Flow:
         return self.lines
 
 
-def lay_out(root: Node, flow: Flow, counts: Counter, in_cell: bool = False) -> None:
-    """Write what is shown below ``root``.  Depth costs no recursion, but for a table's cells."""
+def lay_out(root: Node, flow: Flow, counts: Counter, depth: int = 0, unseen: bool = False) -> Iterator:
+    """Write what is shown below ``root``.  A step for ``finish``: cells are further steps, not calls."""
     lists: list[list] = []
-    stack: list[tuple[Iterator, Node | None]] = [(iter(root.children), None)]
+    stack: list[tuple[Iterator, Node | None, bool]] = [(iter(root.children), None, root.unseen(unseen))]
     while stack:
-        node = next(stack[-1][0], None)
+        children, parent, unseen = stack[-1]
+        node = next(children, None)
         if node is None:
-            done = stack.pop()[1]
-            if done is not None:
-                _leave(done, flow, lists)
+            stack.pop()
+            if parent is not None:
+                _leave(parent, flow, lists)
         elif isinstance(node, str):
-            flow.text(node)
-        elif not node.hidden and not (node.tag == "input" and node.attributes.get("type", "").lower() == "hidden"):
-            if node.tag == "table" and not in_cell:
+            if not unseen:
+                flow.text(node)
+        elif not node.hidden:
+            below = node.unseen(unseen)
+            if node.tag == "table":
                 counts["tables"] += 1
-                flow.apart(2)
-                flow.rows(_table_lines(node, counts))
-                flow.apart(2)
-            else:
-                _enter(node, flow, lists, counts, in_cell)
-                stack.append((iter(node.children), node))
-
-
-def _enter(node: Node, flow: Flow, lists: list, counts: Counter, in_cell: bool) -> None:
+                if depth < MOST_NESTED and _has_columns(node):
+                    flow.apart(2)
+                    flow.rows((yield _table_lines(node, counts, depth + 1, below)))
+                    flow.apart(2)
+                    continue
+            if node.tag == "select":
+                if not below:
+                    _put_options(node, flow)
+                continue
+            _enter(node, flow, lists, counts, below)
+            shown = node.children
+            if node.tag == "details" and "open" not in node.attributes:
+                shown = [c for c in shown if not isinstance(c, str) and c.tag == "summary"][:1]
+            stack.append((iter(shown), node, below))
+
+
+def finish(step: Iterator):
+    """The result of a step and of the steps that it yields, however deep, without recursion."""
+    steps, answer = [step], None
+    while steps:
+        try:
+            steps.append(steps[-1].send(answer))
+            answer = None
+        except StopIteration as done:
+            steps.pop()
+            answer = done.value
+    return answer
+
+
+def _enter(node: Node, flow: Flow, lists: list, counts: Counter, unseen: bool) -> None:
     tag = node.tag
     if tag == "br":
         flow.new_line()
     elif tag in ("td", "th"):
-        if in_cell:
-            flow.space = True
+        flow.space = True
+    elif tag in ("option", "optgroup", "text"):
+        flow.apart(1)
+    elif tag == "input":
+        kind = node.attributes.get("type", "").lower()
+        if not unseen and kind not in WORDLESS:
+            flow.text(node.attributes.get("value") or node.attributes.get("placeholder", ""))
     elif tag in LISTS:
         flow.apart(1 if lists else 2)
         first = node.attributes.get("start", "")
-        lists.append([tag, int(first) if first.isdigit() and len(first) < 9 else 1])
+        lists.append([tag, int(first) if first.isdecimal() and len(first) < 9 else 1])
     elif tag == "li":
         counts["items"] += 1
         if lists and lists[-1][0] == "ol":
@@ -280,8 +348,11 @@ def _enter(node: Node, flow: Flow, lists: list, counts: Counter, in_cell: bool)
             lists[-1][1] += 1
         else:
             flow.item("- ")
+        if unseen:
+            flow.marker = ""
     elif tag in BLOCK:
-        flow.apart(2 if tag in SPACED else 1)
+        counts["rows"] += tag == "tr"
+        flow.apart(2 if tag in SPACED or tag == "table" else 1)
         flow.pre += tag == "pre"
 
 
@@ -292,86 +363,160 @@ def _leave(node: Node, flow: Flow, lists: list) -> None:
         flow.apart(1 if lists else 2)
     elif tag == "li":
         flow.item_end()
+    elif tag in ("option", "optgroup", "text"):
+        flow.apart(1)
     elif tag in BLOCK:
         flow.pre -= tag == "pre"
-        flow.apart(2 if tag in SPACED else 1)
+        flow.apart(2 if tag in SPACED or tag == "table" else 1)
 
 
-def _span(node: Node, name: str) -> int:
+def _words(root: Node) -> str:
+    parts, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        if isinstance(node, str):
+            parts.append(node)
+        elif not node.hidden:
+            waiting += reversed(node.children)
+    return " ".join("".join(parts).split())
+
+
+def _put_options(select: Node, flow: Flow) -> None:
+    """The last option that is marked as selected, else the first that is not disabled; all of a list box."""
+    options, waiting = [], [select]
+    while waiting:
+        node = waiting.pop()
+        if isinstance(node, str) or node.hidden:
+            continue
+        if node.tag == "option" or (node.tag == "optgroup" and node.attributes.get("label")):
+            options.append(node)
+        if node.tag != "option":
+            waiting += reversed(node.children)
+    name = lambda node: node.attributes.get("label") or _words(node)
+    size = select.attributes.get("size", "")
+    if "multiple" in select.attributes or (size.isdecimal() and len(size) < 9 and int(size) > 1):
+        for node in options:
+            flow.apart(1)
+            flow.text(name(node))
+        flow.apart(1)
+        return
+    options = [o for o in options if o.tag == "option"]
+    chosen = [o for o in options if "selected" in o.attributes][-1:]
+    chosen = chosen or [o for o in options if "disabled" not in o.attributes][:1]
+    for node in chosen:
+        flow.text(name(node))
+
+
+def _span(node: Node, name: str, most: int) -> int:
     value = node.attributes.get(name, "")
-    return max(1, min(MOST_SPAN, int(value))) if value.isdigit() and len(value) < 9 else 1
+    span = int(value) if value.isdecimal() and len(value) < 9 else 1
+    return min(most, span or (most if name == "rowspan" else 1))  # zero: all rows of the group
 
 
-def _cell_text(node: Node, counts: Counter) -> str:
-    flow = Flow()
-    lay_out(node, flow, counts, in_cell=True)
-    return " ".join(line.strip() for line in flow.finished() if line.strip())
+def _is_cell(node: Node | str) -> bool:
+    return not isinstance(node, str) and node.tag in ("td", "th") and not node.hidden
+
 
+def _has_columns(root: Node) -> bool:
+    """Whether any row of the table, or of its groups, has more than one cell."""
+    groups = [root, *(c for c in root.children if not isinstance(c, str) and c.tag in ("thead", "tbody", "tfoot"))]
+    rows = (r for g in groups for r in g.children if not isinstance(r, str) and r.tag == "tr")
+    return any(sum(map(_is_cell, r.children)) > 1 for r in rows)
 
-def _table_lines(root: Node, counts: Counter) -> list[str]:
-    """Captions, then rows with their cells padded to columns.  A table within a cell is running text."""
-    lines, rows = [], []
+
+def _lines(node: Node, counts: Counter, depth: int, unseen: bool) -> Iterator:
+    """The lines of a cell, a caption or what stands between them."""
+    flow = Flow()
+    if not _is_cell(node):
+        holder = Node("div")
+        holder.children.append(node)
+        node = holder
+    yield lay_out(node, flow, counts, depth, unseen)
+    return flow.finished()
+
+
+def _table_lines(root: Node, counts: Counter, depth: int, unseen: bool) -> Iterator:
+    """Captions and what stands between cells, then rows with their cells in columns."""
+    lines: list[str] = []
+    rows: list[list[tuple[int, int, list[str]]]] = []
     covered: dict[int, int] = {}  # rows that a cell above still takes of a column
-    waiting = [root]
+    waiting: list[tuple[Node | str, bool]] = [(root, unseen)]
     while waiting:
-        node = waiting.pop()
-        if isinstance(node, str) or node.hidden:
+        node, unseen = waiting.pop()
+        if isinstance(node, str):
+            if node.strip() and not unseen:
+                lines.append(" ".join(node.split()))
+        elif node.hidden:
             continue
-        if node.tag == "tr":
-            row: dict[int, tuple[str, int]] = {}
-            column, above = 0, dict(covered)
+        elif node.tag == "tr":
+            row, column, above = [], 0, dict(covered)
+            counts["rows"] += 1
+            within = node.unseen(unseen)
             for cell in node.children:
-                if isinstance(cell, str) or cell.tag not in ("td", "th") or cell.hidden:
-                    shown = cell if isinstance(cell, str) else "" if cell.hidden else _cell_text(cell, counts)
-                    if shown.strip():  # content between cells is shown before the table
-                        lines.append(" ".join(shown.split()))
-                    continue
-                while above.get(column, 0):
-                    column += 1
-                wide, high = _span(cell, "colspan"), _span(cell, "rowspan")
-                row[column] = (_cell_text(cell, counts), wide)
-                for c in range(column, column + wide):
-                    covered[c] = high
-                column += wide
+                if isinstance(cell, str):
+                    if cell.strip() and not within:
+                        lines.append(" ".join(cell.split()))
+                elif not _is_cell(cell):
+                    lines += yield _lines(cell, counts, depth, within)
+                else:
+                    while above.get(column, 0):
+                        column += 1
+                    wide, high = _span(cell, "colspan", MOST_COLUMNS), _span(cell, "rowspan", MOST_ROWS)
+                    row.append((column, wide, (yield _lines(cell, counts, depth, within))))
+                    for c in range(column, column + wide):
+                        covered[c] = high
+                    column += wide
             covered = {c: n - 1 for c, n in covered.items() if n > 1}
-            counts["rows"] += 1
             rows.append(row)
         elif node is root or node.tag in ("thead", "tbody", "tfoot"):
-            for child in reversed(node.children):
-                if isinstance(child, str):
-                    if child.strip():
-                        lines.append(" ".join(child.split()))
-                else:
-                    waiting.append(child)
+            covered = {}  # cells don't reach into the next group
+            below = unseen if node is root else node.unseen(unseen)
+            waiting += [(child, below) for child in reversed(node.children)]
         else:
-            shown = _cell_text(node, counts)
-            if shown:
-                lines.append(shown)
-    widths: dict[int, int] = {}
-    for row in rows:
-        for column, (shown, wide) in row.items():
-            if wide == 1 and len(shown) <= COLUMN_CHARS:
-                widths[column] = max(widths.get(column, 0), len(shown))
+            lines += yield _lines(node, counts, depth, unseen)
+    starts = _column_starts(rows)
     for row in rows:
-        line, end = [], 0
-        for column in sorted(row):
-            shown, wide = row[column]
-            line.append(" " * sum(widths.get(c, 0) + 2 for c in range(end, column)))
-            room = sum(widths.get(c, 0) + 2 for c in range(column, column + wide))
-            line.append(shown.ljust(room - 2) + "  ")
-            end = column + wide
-        if text := "".join(line).rstrip():
-            lines.append(text)
+        for number in range(max((len(cell) for _, _, cell in row), default=0)):
+            line = ""
+            for column, _, cell in row:
+                if number < len(cell) and cell[number]:
+                    if line and len(line) >= starts[column]:  # a line that ran on
+                        lines.append(line)
+                        line = ""
+                    line = line.ljust(starts[column]) + cell[number]
+            lines.append(line.rstrip())
     return lines
 
 
+def _column_starts(rows: list[list[tuple[int, int, list[str]]]]) -> dict[int, int]:
+    """Where each column starts, two blanks behind the widest line of the one before it."""
+    cells = [(wide, column, max(map(len, cell), default=0)) for row in rows for column, wide, cell in row]
+    text = sum(len(line) for row in rows for _, _, cell in row for line in cell)
+    height = sum(max((len(cell) for _, _, cell in row), default=0) for row in rows)
+    last = max((column + wide for wide, column, _ in cells), default=0)
+    most = max((width for _, _, width in cells), default=0)
+    while True:
+        widths = [0] * last
+        for wide, column, width in sorted(cells):
+            room = sum(widths[column : column + wide]) + 2 * (wide - 1)
+            widths[column + wide - 1] += max(0, min(width, most) - room)
+        if most == 0 or height * sum(widths) <= PADDING * text + FREE_PADDING:
+            break
+        most //= 2
+    starts, at = {}, 0
+    for column, width in enumerate(widths):
+        starts[column] = at
+        at += width + 2
+    return starts
+
+
 def render(html: str | None) -> tuple[str, Counter]:
     """The text of a page and counts of its list items, tables and table rows."""
     counts: Counter = Counter()
     if not html:
         return "", counts
     flow = Flow()
-    lay_out(build_tree(html), flow, counts)
+    finish(lay_out(build_tree(html), flow, counts))
     return "\n".join(flow.finished()).strip("\n"), counts
 
 
