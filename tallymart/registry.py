@@ -323,14 +323,30 @@ def month_csv_roundtrip(spark, sf_dir):
     return shown(readers.read_csv_folder(spark, path, schema))
 
 
-def _raw_folder(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+# Rows of a raw file at most, and the share of all rows that a file of a small delivery has.
+RAW_FILE_ROWS = 1_000_000
+RAW_FILES = 4
+
+
+def _raw_folder(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "raw")
-    messy = messy_bronze(spark, sf_dir)
-    messy = messy.repartition(files) if files else messy
-    messy.write.options(**writers.CSV_OPTIONS).csv(path)
+    messy_bronze(spark, sf_dir).write.options(**writers.CSV_OPTIONS).csv(path)
     return path
 
 
+def _raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """A folder of at least ``RAW_FILES`` files, as many as the data fills, and their number.
+
+    The tasks of the join write them: a fixed number of files would be as many tasks, whatever the data.
+    """
+    path = scratch_path(spark, "raw")
+    rows = table(spark, sf_dir, "lineitem").count()
+    options = {**writers.CSV_OPTIONS, "maxRecordsPerFile": str(min(RAW_FILE_ROWS, -(-rows // RAW_FILES)))}
+    messy_bronze(spark, sf_dir).write.options(**options).csv(path)
+    listing = spark.read.format("binaryFile").load(path).select("path")  # names only, no content
+    return path, listing.count()
+
+
 def _batch_run(spark: SparkSession, sf_dir: str) -> LakePaths:
     paths = LakePaths(scratch_path(spark, "lake"))
     run_batch(spark, _raw_folder(spark, sf_dir), paths, RunOptions())
@@ -370,9 +386,10 @@ def sql_over_gold(spark, sf_dir):
 
 @query
 def incremental_ingest(spark, sf_dir):
+    """Two micro-batches, each of half the files."""
     paths = LakePaths(scratch_path(spark, "lake"))
-    raw = _raw_folder(spark, sf_dir, files=4)
-    ingest_available(spark, raw, paths, source_options={"maxFilesPerTrigger": "2"})
+    raw, files = _raw_files(spark, sf_dir)
+    ingest_available(spark, raw, paths, source_options={"maxFilesPerTrigger": str(max(1, -(-files // 2)))})
     return shown(marts.read_gold_batches(spark, paths, "monthly_revenue_by_category", ("category",)))
 
 

@@ -1,0 +1,30 @@
+"""What keeps a task, a shuffle and a row's cost small in the batch and ingest queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallymart import registry
+from tallymart.plans.pipeline import process
+from tallymart.sources.star import table
+
+def test_raw_files_grow_in_number_not_in_size(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(registry, "RAW_FILE_ROWS", 40)
+    path, files = registry._raw_files(spark, sf_dir)
+    rows = spark.read.option("header", "true").csv(path).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in rows) == table(spark, sf_dir, "lineitem").count()
+    assert len(rows) == files and max(r["count"] for r in rows) <= 40
+
+
+def test_incremental_ingest_has_two_batches(spark, sf_dir, monkeypatch):
+    batches = []
+    kept = process
+
+    def noted(bronze, paths, options, run_id, batch_id=None):
+        batches.append(batch_id)
+        return kept(bronze, paths, options, run_id, batch_id)
+
+    monkeypatch.setattr("tallymart.streaming.ingest.process", noted)
+    monkeypatch.setattr(registry, "RAW_FILE_ROWS", 100)
+    registry.REGISTRY["incremental_ingest"](spark, sf_dir).count()
+    assert batches == ["orders-000000000", "orders-000000001"]
