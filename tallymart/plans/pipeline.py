@@ -21,12 +21,15 @@ from tallymart.operators.quality import (
 )
 from tallymart.plans import corrections
 from tallymart.plans.marts import MARTS, available_marts, base_aggregate, mart_tables
-from tallymart.session import remove_path, written
+from tallymart.session import remove_path, settings, written
 from tallymart.sources import writers
 from tallymart.sources.paths import LakePaths, new_run_id
 from tallymart.sources.readers import CORRUPT, read_bronze, read_optional
 
 STAGE_FLAG = "_accepted"
+#: Of the staging write: the parsing projection as one generated method is too large for the JVM's compiler (8,000
+#: bytes), beyond the limit Spark takes small ones; both sides of the flag are open at once instead of sorted.
+STAGE_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000", "spark.sql.maxConcurrentOutputFileWriters": "2"}
 
 
 @dataclass(frozen=True)
@@ -75,7 +78,8 @@ def _stage(classified: DataFrame, folder: str) -> DataFrame:
     """
     path = f"{folder}/stage"
     flagged = classified.withColumn(STAGE_FLAG, F.size(REASONS) == 0)
-    flagged.write.partitionBy(STAGE_FLAG).parquet(path)
+    with settings(classified.sparkSession, STAGE_SETTINGS):
+        flagged.write.partitionBy(STAGE_FLAG).parquet(path)
     schema = T.StructType([f for f in flagged.schema if f.name != STAGE_FLAG])
     schema = schema.add(STAGE_FLAG, T.BooleanType())
     return classified.sparkSession.read.schema(schema).parquet(path)

@@ -5,9 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymart import registry
-from tallymart.plans.pipeline import process
+from tallymart.functions import values as V
+from tallymart.operators.cleaning import clean_orders
+from tallymart.operators.quality import classify
+from tallymart.plans import corrections, pipeline
+from tallymart.plans.pipeline import STAGE_SETTINGS, RunOptions, process
+from tallymart.sources import messy
+from tallymart.sources.messy import messy_bronze
+from tallymart.sources.paths import LakePaths
 from tallymart.sources.star import table
 
+KEYS = ("order_id", "line_number")
+
+
 def test_raw_files_grow_in_number_not_in_size(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(registry, "RAW_FILE_ROWS", 40)
     path, files = registry._raw_files(spark, sf_dir)
@@ -28,3 +38,24 @@ def test_incremental_ingest_has_two_batches(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(registry, "RAW_FILE_ROWS", 100)
     registry.REGISTRY["incremental_ingest"](spark, sf_dir).count()
     assert batches == ["orders-000000000", "orders-000000001"]
+
+
+def corrupt_column(df):
+    return df.withColumn("corrupt_record", F.lit(None).cast("string"))
+
+
+def test_staging_settings_hold_for_its_write_only(spark, sf_dir, tmp_path, monkeypatch):
+    seen = []
+    before = {k: spark.conf.get(k) for k in STAGE_SETTINGS}
+    classified = classify(clean_orders(corrupt_column(messy_bronze(spark, sf_dir))))
+    kept = pipeline.settings
+
+    def noted(session, conf):
+        seen.append(conf)
+        return kept(session, conf)
+
+    monkeypatch.setattr(pipeline, "settings", noted)
+    staged = pipeline._stage(classified, str(tmp_path))
+    assert seen == [STAGE_SETTINGS] and before != STAGE_SETTINGS
+    assert {k: spark.conf.get(k) for k in STAGE_SETTINGS} == before
+    assert staged.count() == classified.count()
