@@ -196,10 +196,17 @@ def _publish_corrections(
 def _one_per_key(
     silver: DataFrame, paths: LakePaths, options: RunOptions, batch_id: str | None
 ) -> DataFrame:
+    """One row a key, and none whose key an earlier batch has.
+
+    Keys of earlier batches go out first, so that their rows are not sorted within their key.
+    """
     keys = list(options.business_keys)
-    silver = dedupe_latest(silver, keys, _key_order(silver, options))
-    if batch_id is None:
-        return silver
+    if batch_id is not None:
+        silver = _new_keys(silver, paths, keys, batch_id)
+    return dedupe_latest(silver, keys, _key_order(silver, options))
+
+
+def _new_keys(silver: DataFrame, paths: LakePaths, keys: list[str], batch_id: str) -> DataFrame:
     kinds = {f.name: f for f in silver.schema}
     schema = T.StructType([*[kinds[k] for k in keys], T.StructField("batch_id", T.StringType())])
     before = read_optional(silver.sparkSession, paths.silver_batches, schema)

@@ -44,6 +44,17 @@ def corrupt_column(df):
     return df.withColumn("corrupt_record", F.lit(None).cast("string"))
 
 
+def test_published_keys_leave_before_rows_are_ranked(spark, sf_dir, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"))
+    options = RunOptions(business_keys=KEYS, latest_first=("sales_clean", "order_date"))
+    process(corrupt_column(messy_bronze(spark, sf_dir)), paths, options, "one", "one")
+    silver = spark.read.parquet(paths.silver_batches).drop("batch_id")
+    plan = pipeline._one_per_key(silver, paths, options, "two")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Window [") < plan.index("Join LeftAnti")
+    again = process(corrupt_column(messy_bronze(spark, sf_dir)), paths, options, "two", "two")
+    assert again.metrics.row_good > 0 and not pipeline.published_rows(spark, paths.silver_batches, "two")
+
+
 def test_staging_settings_hold_for_its_write_only(spark, sf_dir, tmp_path, monkeypatch):
     seen = []
     before = {k: spark.conf.get(k) for k in STAGE_SETTINGS}
