@@ -18,22 +18,46 @@ ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 # Fixed value: the date pattern known besides the ISO forms.
 DATE_FORMATS = ("M/d/yyyy",)
 
+# The usual spelling of that pattern, and of a whole number: these are read without a formatter or decimals.
+US_DATE = r"^\d{1,2}/\d{1,2}/[1-9]\d{3}$"
+PLAIN_WHOLE = r"^\d{1,9}$"
+
 
 def blank_to_null(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit(""))
 
 
 def money(text: Column) -> Column:
-    """Decimal amount; NaN, infinities and type suffixes are not numbers here."""
-    digits = F.translate(text.cast("string"), MONEY_NOISE, "")
-    return F.nullif(digits, F.lit("")).try_cast(MONEY)
+    """Decimal amount; NaN, infinities and type suffixes are not numbers here.
+
+    Noise is mostly at the ends or a comma; only other text is searched character by character.
+    """
+    plain = text.cast("string")
+    trimmed = F.replace(F.btrim(plain, F.lit(MONEY_NOISE)), F.lit(","), F.lit(""))
+    digits = F.translate(plain, MONEY_NOISE, "")
+    return F.coalesce(trimmed.try_cast(MONEY), F.nullif(digits, F.lit("")).try_cast(MONEY))
 
 
 def quantity(text: Column) -> Column:
     """Whole number; ``3.0`` is 3, ``3.5`` is NULL."""
-    digits = F.translate(text.cast("string"), QUANTITY_NOISE, "")
+    plain = text.cast("string")
+    digits = F.translate(plain, QUANTITY_NOISE, "")
     exact = F.nullif(digits, F.lit("")).try_cast(MONEY)
-    return F.when(exact == F.floor(exact), exact.try_cast("int"))
+    whole = F.when(exact == F.floor(exact), exact.try_cast("int"))
+    return F.when(F.regexp_like(plain, F.lit(PLAIN_WHOLE)), plain.try_cast("int")).otherwise(whole)
+
+
+def _us_date(trimmed: Column) -> Column:
+    """``M/d/yyyy`` turned into the ISO form, whose cast needs no formatter; NULL for another spelling."""
+    month, year = (F.substring_index(trimmed, "/", k) for k in (1, -1))
+    day = F.substring_index(F.substring_index(trimmed, "/", 2), "/", -1)
+    iso = F.concat(year, F.lit("-"), month, F.lit("-"), day)
+    return F.when(F.regexp_like(trimmed, F.lit(US_DATE)), iso.try_cast("date"))
+
+
+def _by_pattern(trimmed: Column, pattern: str) -> Column:
+    parsed = F.try_to_date(trimmed, pattern)
+    return F.coalesce(_us_date(trimmed), parsed) if pattern == "M/d/yyyy" else parsed
 
 
 def parse_date(
@@ -49,8 +73,9 @@ def parse_date(
     ``yyyy-dd-MM`` that an ISO date could be mistaken for.
     """
     trimmed = blank_to_null(text.cast("string"))
-    iso = F.when(F.regexp_like(trimmed, F.lit(ISO_DATE)), trimmed.try_cast("date"))
-    patterns = [F.try_to_date(trimmed, f) for f in formats]
+    dashed = F.substring(trimmed, 5, 1) == "-"  # spares other text the pattern
+    iso = F.when(dashed & F.regexp_like(trimmed, F.lit(ISO_DATE)), trimmed.try_cast("date"))
+    patterns = [_by_pattern(trimmed, f) for f in formats]
     return F.coalesce(*([iso, *patterns] if iso_first else [*patterns, iso]))
 
 

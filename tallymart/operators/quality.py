@@ -64,7 +64,8 @@ def reject_reasons(
     rules.update({f"missing_{key}": F.col(key).isNull() for key in keys if f"missing_{key}" not in rules})
     if CORRUPT in columns:
         rules["corrupt_record"] = F.col(CORRUPT).isNotNull()
-    return F.array_compact(F.array(*[F.when(broken, name) for name, broken in rules.items()]))
+    # no function over the elements: that would take the whole projection out of generated code
+    return F.array_remove(F.array(*[F.when(broken, name).otherwise("") for name, broken in rules.items()]), "")
 
 
 def classify(

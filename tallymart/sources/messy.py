@@ -28,10 +28,26 @@ def _pick(selector: Column, *choices: Column) -> Column:
     return chosen
 
 
+def us_date(date: Column) -> Column:
+    """As ``M/d/yyyy``, without a formatter for every row."""
+    slash = F.lit("/")
+    return F.concat(F.month(date), slash, F.day(date), slash, F.year(date))
+
+
+def grouped(amount: Column) -> Column:
+    """As ``format_number(amount, 4)``; only amounts from a million on need that function."""
+    text = amount.cast("string")
+    thousands = F.concat(
+        text.substr(F.lit(1), F.length(text) - 8), F.lit(","), text.substr(F.length(text) - 7, F.lit(8))
+    )
+    size = F.abs(amount)
+    return F.when(size < 1000, text).when(size < 1_000_000, thousands).otherwise(F.format_number(amount, 4))
+
+
 def messy_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = retail_fact(spark, sf_dir, "category", "country")
     line, fault = F.col("line_number"), fault_number()
-    amount = F.format_number("sales_clean", 4)
+    amount = grouped(F.col("sales_clean"))
     money = _pick(
         line,
         F.concat(F.lit(" $"), amount, F.lit(" ")),
@@ -45,9 +61,8 @@ def messy_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(fault == 3, F.lit("$0.00"))
         .otherwise(money)
     )
-    us_date = F.date_format("order_date", "M/d/yyyy")
-    iso_date = F.date_format("order_date", "yyyy-MM-dd")
-    order_date = F.when(fault == 2, F.lit("not a date")).otherwise(_pick(line, us_date, iso_date))
+    iso_date = F.col("order_date").cast("string")
+    order_date = F.when(fault == 2, F.lit("not a date")).otherwise(_pick(line, us_date(F.col("order_date")), iso_date))
     whole = F.col("quantity_clean").cast("string")
     quantity = _pick(line, whole, F.concat(F.lit(" "), whole, F.lit(" ")), F.concat(whole, F.lit(".0")))
     category = _pick(
@@ -60,9 +75,9 @@ def messy_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("order_id").cast("string").alias(" Order ID"),
         line.cast("string").alias("Line.Number"),
         order_date.alias("Order Date"),
-        F.date_format("ship_date", "M/d/yyyy").alias("Ship-Date"),
+        us_date(F.col("ship_date")).alias("Ship-Date"),
         sales.alias("Sales"),
-        F.concat(F.lit("$"), F.format_number("profit_clean", 4)).alias("Profit"),
+        F.concat(F.lit("$"), grouped(F.col("profit_clean"))).alias("Profit"),
         F.col("discount_clean").cast("string").alias("Discount "),
         quantity.alias("[Quantity]"),
         category.alias("Category"),

@@ -70,3 +70,26 @@ def test_staging_settings_hold_for_its_write_only(spark, sf_dir, tmp_path, monke
     assert seen == [STAGE_SETTINGS] and before != STAGE_SETTINGS
     assert {k: spark.conf.get(k) for k in STAGE_SETTINGS} == before
     assert staged.count() == classified.count()
+
+
+def test_classification_is_generated_code(spark, sf_dir):
+    classified = classify(clean_orders(corrupt_column(messy_bronze(spark, sf_dir))))
+    assert "lambda" not in classified._jdf.queryExecution().executedPlan().toString()
+
+
+def test_usual_spellings_read_like_the_formatter(spark):
+    texts = ["1/5/2020", "01/05/2020", "2/30/2020", "2/29/2020", "13/1/2020", "1/1/0000", "1/1/20201", None, " 3/4/1999 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    wanted = [r[0] for r in df.select(F.try_to_date(F.trim("t"), "M/d/yyyy").cast("string")).collect()]
+    assert [r[0] for r in df.select(V.parse_date(F.col("t")).cast("string")).collect()] == wanted
+    assert wanted[:3] == ["2020-01-05", "2020-01-05", None]
+    plan = df.select(V.parse_date(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring_index" in plan
+
+
+def test_messy_text_is_that_of_the_formatters(spark):
+    amounts = ["0.5", "-0.5", "0", "999.9999", "1000", "-1000.25", "999999.9999", "1000000", "-12345678.9", None]
+    df = spark.createDataFrame([(a,) for a in amounts], "a string").select(F.col("a").cast("decimal(18,4)").alias("a"))
+    assert all(r[0] == r[1] for r in df.select(messy.grouped(F.col("a")), F.format_number("a", 4)).collect())
+    days = spark.sql("SELECT explode(array(DATE'2020-01-05', DATE'1999-12-31', CAST(NULL AS DATE))) AS d")
+    assert all(r[0] == r[1] for r in days.select(messy.us_date(F.col("d")), F.date_format("d", "M/d/yyyy")).collect())
