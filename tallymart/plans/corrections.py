@@ -36,6 +36,8 @@ from tallymart.sources.readers import read_optional
 FAN = 16
 LOG_SCHEMA = "number long, buckets int, batch_id string"
 TOTAL = T.DecimalType(38, 4)
+#: Of a row's SHA-256: every copy of the key table carries it, and it doesn't compress.
+DIGEST_BYTES = 16
 
 
 @dataclass(frozen=True)
@@ -96,7 +98,7 @@ def _state_schema(silver: T.StructType, keys: list[str], dims: list[str]) -> T.S
     for place, _ in enumerate(dims):
         schema = schema.add(f"_dim_{place}", T.StringType())
     return (
-        schema.add("_has", T.ArrayType(T.StringType())).add("_amount", MONEY).add("_digest", T.StringType())
+        schema.add("_has", T.ArrayType(T.StringType())).add("_amount", MONEY).add("_digest", T.BinaryType())
         .add("_owner", T.StringType()).add("_number", T.LongType()).add("bucket", T.IntegerType())
     )
 
@@ -112,7 +114,7 @@ def _as_state(silver: DataFrame, keys: list[str], dims: list[str], turn: Turn) -
             **{f"_dim_{i}": (F.col(d) if d in present else F.lit(None)).cast("string") for i, d in enumerate(dims)},
             "_has": F.array(*map(F.lit, present)).cast("array<string>"),
             "_amount": F.col("sales_clean").cast(MONEY),
-            "_digest": F.sha2(whole, 256),
+            "_digest": F.substring(F.unhex(F.sha2(whole, 256)), 1, DIGEST_BYTES),
             "_owner": F.lit(turn.batch_id),
             "_number": F.lit(turn.number).cast("long"),
             "bucket": bucket_of(keys, turn.buckets),
@@ -168,13 +170,14 @@ def changed_rows(
     """
     spark = silver.sparkSession
     columns = silver.columns
-    rows = written(_as_state(dedupe_latest(silver, keys, order), keys, dims, turn), "keyed", folder)
+    rows = _as_state(dedupe_latest(silver, keys, order), keys, dims, turn)
     schema = _state_schema(rows.schema, keys, dims)
     names = [n for n in schema.names if n not in keys]
     kinds = T.StructType([schema[n] for n in names])
-    if turn.number == 1:
+    if turn.number == 1:  # read once
         changed = rows.withColumn("_old", F.lit(None).cast(kinds))
     else:
+        rows = written(rows, "keyed", folder)
         hit = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
         segments = [_merged(spark, paths, schema, keys, *part) for part in cover(turn.number - 1)]
         before = _read_segments(spark, segments, schema).where(F.col("bucket").isin(hit))

@@ -44,6 +44,24 @@ def corrupt_column(df):
     return df.withColumn("corrupt_record", F.lit(None).cast("string"))
 
 
+def test_first_batch_is_stored_once_with_short_digests(spark, sf_dir, tmp_path, monkeypatch):
+    stored = []
+    kept = corrections.written
+
+    def noted(df, name, folder=None):
+        stored.append(name)
+        return kept(df, name, folder)
+
+    monkeypatch.setattr(corrections, "written", noted)
+    paths = LakePaths(str(tmp_path / "lake"))
+    options = RunOptions(business_keys=KEYS, corrections=True)
+    process(corrupt_column(messy_bronze(spark, sf_dir)), paths, options, "one", "one")
+    assert stored == ["changed", "signed"]
+    segment = spark.read.parquet(corrections._segment(paths, 0, 0))
+    assert {r[0] for r in segment.select(F.length("_digest")).distinct().collect()} == {16}
+    assert segment.select("_digest").distinct().count() == segment.count()
+
+
 def test_published_keys_leave_before_rows_are_ranked(spark, sf_dir, tmp_path):
     paths = LakePaths(str(tmp_path / "lake"))
     options = RunOptions(business_keys=KEYS, latest_first=("sales_clean", "order_date"))
