@@ -25,6 +25,8 @@ import string
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import accumulate, groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +58,8 @@ POSTERIOR = 0.5
 REMOVE = 0.95
 #: Bits of the filter of terms.
 FILTER_BITS = 1 << 20
+#: Rows that a task makes before it hands them on; a text full of data gives many times its size in them.
+BATCH_ROWS = 10_000
 
 # ------------------------------------------------------------------ patterns
 # Each reads a text once, also where it is one long run of fitting characters.
@@ -155,19 +159,19 @@ def neighbours(text: str) -> Iterator[tuple[str | None, str, int | None]]:
         return
     terms = terms_with_spans(text, spans)
     starts = [start for _, start, _ in terms]
-    seen = set()
-    for kind, start, end in spans:
-        name = entity(kind, text[start:end])
-        if (None, name) not in seen:
-            seen.add((None, name))
-            yield None, name, None
-        first, behind = bisect_left(starts, start), bisect_left(starts, end)
-        near = [t for t, _, _ in terms[max(0, first - WINDOW) : first] + terms[behind : behind + WINDOW]]
-        around = xxh64_intdigest(" ".join(near).encode()) - (1 << 63)
-        for t in near:
-            if len(t) > 1 and any(map(str.isalpha, t)) and (t, name) not in seen:
-                seen.add((t, name))
-                yield t, name, around
+    # entity by entity, so that what was given is held for one of them only
+    named = sorted((entity(kind, text[start:end]), start, end) for kind, start, end in spans)
+    for name, places in groupby(named, itemgetter(0)):
+        yield None, name, None
+        seen = set()
+        for _, start, end in places:
+            first, behind = bisect_left(starts, start), bisect_left(starts, end)
+            near = [t for t, _, _ in terms[max(0, first - WINDOW) : first] + terms[behind : behind + WINDOW]]
+            around = xxh64_intdigest(" ".join(near).encode()) - (1 << 63)
+            for t in near:
+                if len(t) > 1 and any(map(str.isalpha, t)) and t not in seen:
+                    seen.add(t)
+                    yield t, name, around
 
 
 def _bit(term: bytes) -> int:
@@ -199,16 +203,16 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _each_slice(
     docs: DataFrame, rows_of: Callable[[list[str]], Iterator[tuple]], schema: T.StructType
 ) -> DataFrame:
-    """The rows that ``rows_of`` gives for the texts of each slice."""
+    """The rows that ``rows_of`` gives for the texts of each slice, ``BATCH_ROWS`` at a time."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            rows = list(rows_of([t for t in part.column("text").to_pylist() if t]))
-            if rows:
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)]
+            rows = rows_of([t for t in part.column("text").to_pylist() if t])
+            while some := list(islice(rows, BATCH_ROWS)):
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*some), arrow)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return _texts(docs).mapInArrow(lambda batches: read(batches), schema)
@@ -238,12 +242,11 @@ def disclosing_terms(docs: DataFrame, folder: str) -> DataFrame:
         .where(F.col("support") >= SUPPORT)
     )
     joint = stored(joint.join(held, "entity"), folder, "joint")
-    candidates = stored(joint.select("term").distinct(), folder, "candidates")
-    bits = term_filter(candidates).tobytes()
+    bits = term_filter(joint).tobytes()
     part = T.StructType().add("term", "string").add("n", "long")
     seen = _each_slice(docs, lambda texts: _counted(texts, bits), part)
     # added up before the join, which then meets each term once
-    counts = stored(seen.groupBy("term").agg(F.sum("n").alias("n_term")), folder, "counts")
+    counts = seen.groupBy("term").agg(F.sum("n").alias("n_term"))
 
     total = F.lit(float(docs.count()))
     pmi = F.log(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
@@ -261,6 +264,15 @@ def _placed(name: str) -> T.ArrayType:
     return T.ArrayType(T.StructType().add(name, "string").add("start", "integer").add("end", "integer"))
 
 
+def _places(rows: list[list[tuple]], kind: pa.ListType) -> pa.Array:
+    """A list of places for each row."""
+    flat = [place for row in rows for place in row]
+    fields = list(kind.value_type)
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*flat) if flat else [()] * len(fields), fields)]
+    offsets = pa.array(accumulate(map(len, rows), initial=0), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, fields=fields), type=kind)
+
+
 def _tagged(docs: DataFrame, kept: list[str], text: str, names: list[str], bits: bytes) -> DataFrame:
     """Columns ``kept`` of ``docs``, base spans and the terms that pass the filter."""
     from pyspark.sql.pandas.types import to_arrow_type
@@ -276,9 +288,9 @@ def _tagged(docs: DataFrame, kept: list[str], text: str, names: list[str], bits:
                 spans = base_spans(value or "")
                 some = {t.decode() for t in possible(value, bits)} if value else ()
                 placed = terms_with_spans(value, spans) if some else ()
-                found.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
-                terms.append([dict(zip(("term", "start", "end"), p)) for p in placed if p[0] in some])
-            columns = [part.column(c) for c in kept] + [pa.array(c, k) for c, k in zip((found, terms), kinds)]
+                found.append(spans)
+                terms.append([p for p in placed if p[0] in some])
+            columns = [part.column(c) for c in kept] + [_places(c, k) for c, k in zip((found, terms), kinds)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
 
     return docs.mapInArrow(lambda batches: read(batches), shape)

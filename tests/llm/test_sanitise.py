@@ -7,11 +7,14 @@ import random
 import re
 import string
 import time
+import tracemalloc
 from collections import defaultdict
 from hashlib import sha256
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import types as T
 
 from tallymart.llm import sanitise as s
 
@@ -143,3 +146,61 @@ def test_sanitised_texts_hold_nothing(spark, docs):
         text = row["text"] or ""
         assert plain(text) == [] and "zorbaxx" not in text.lower()
     assert s.sanitise(docs()).collect() == []
+
+
+class Task:
+    """A table whose only batch is read here, as a task would."""
+
+    def __init__(self, *texts):
+        self.batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+        self.schema = T.StructType().add("text", "string")
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, read, schema):
+        return read(iter([self.batch]))
+
+
+def test_memory_of_a_task_does_not_follow_its_rows(spark):
+    """Texts full of addresses give 25 times their size in neighbours; a slice of them is never held."""
+    texts = [" ".join(f"word{i % 97} u{k}x{i}@ex{i % 89}.org" for i in range(1000)) for k in range(20)]
+    found = T.StructType().add("term", "string").add("entity", "string").add("around", "long")
+    rows = 0
+    tracemalloc.start()
+    try:
+        for batch in s._each_slice(Task(*texts), s._all_neighbours, found):
+            rows += batch.num_rows
+            assert batch.num_rows <= 10_000
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == sum(1 for text in texts for _ in s.neighbours(text)) > 200_000
+    assert peak < 16e6
+
+
+def test_neighbours_are_those_of_the_first_place():
+    text = "aa jo@x.org bb 10.0.0.1 cc JO@X.org aa dd +1 555 010 0199 bb jo@x.org ee"
+    spans, expected = plain(text), set()
+    busy = [(b, e) for _, b, e in spans]
+    cores = [(m.group(), m.start()) for m in re.finditer(r"\S+", text) if not any(b <= m.start() < e for b, e in busy)]
+    for kind, b, e in spans:
+        name = s.entity(kind, text[b:e])
+        near = [t for t, x in cores if x < b][-6:] + [t for t, x in cores if x >= e][:6]
+        around = s.xxh64_intdigest(" ".join(near).encode()) - (1 << 63)
+        known = {(t, n) for t, n, _ in expected}
+        expected |= {(t, name, around) for t in near if (t, name) not in known} | {(None, name, None)}
+    found = list(s.neighbours(text))
+    assert set(found) == expected and len(found) == len(expected) > 12
+
+
+def test_places_as_arrow_lists(spark):
+    texts = ["no data", "10.0.0.1 aa u@x.org, bb", "", None, "aa"]
+    task = Task(*texts)
+    batches = list(s._tagged(task, ["text"], "text", ["base", "hits"], b"\xff" * (s.FILTER_BITS // 8)))
+    rows = [row for batch in batches for row in batch.to_pylist()]
+    assert [row["text"] for row in rows] == texts
+    assert [[tuple(p.values()) for p in row["base"]] for row in rows] == [s.base_spans(t or "") for t in texts]
+    assert [[p["term"] for p in row["hits"]] for row in rows] == [["no", "data"], ["aa", "bb"], [], [], ["aa"]]
+    empty = list(s._tagged(Task("", None), [], "text", ["base", "hits"], bytes(s.FILTER_BITS // 8)))
+    assert [row for batch in empty for row in batch.to_pylist()] == [{"base": [], "hits": []}] * 2
