@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Collection
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.contract import OrderContract
@@ -49,6 +51,22 @@ def clean_orders(
     return df.withColumns(typed)
 
 
+def late_measures(
+    contract: OrderContract, columns: Collection[str], needed: Collection[str] = ()
+) -> dict[str, Column]:
+    """Of the ``_clean`` columns those that can be read from their text again, whenever they are wanted.
+
+    Rules and orders must not need them: those in ``needed`` and those of dimensions are left out.
+    """
+    texts = {c: V.money for c in contract.money} | {c: V.quantity for c in contract.quantities}
+    taken = {*needed, *contract.dimensions, *[f"{c}_clean" for c in contract.dimensions]}
+    return {f"{c}_clean": read(F.col(c)) for c, read in texts.items() if f"{c}_clean" in set(columns) - taken}
+
+
+def with_period(df: DataFrame) -> DataFrame:
+    return df.withColumns({"year": F.year("order_date"), "month": F.month("order_date")})
+
+
 def silver_columns(df: DataFrame, contract: OrderContract = OrderContract()) -> DataFrame:
     """Standard dimensions and the period columns.
 
@@ -58,7 +76,4 @@ def silver_columns(df: DataFrame, contract: OrderContract = OrderContract()) ->
     for period in ("year", "month"):
         if period in df.columns:
             df = df.withColumnRenamed(period, f"src_{period}")
-    derived = {c: V.dimension(F.col(c)) for c in contract.dimensions if c in df.columns}
-    derived["year"] = F.year("order_date")
-    derived["month"] = F.month("order_date")
-    return df.withColumns(derived)
+    return with_period(df.withColumns({c: V.dimension(F.col(c)) for c in contract.dimensions if c in df.columns}))

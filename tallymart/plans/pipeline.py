@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.contract import MAX_BAD_FRACTION, METRICS_SCHEMA, OrderContract
-from tallymart.operators.cleaning import clean_orders, silver_columns
+from tallymart.operators.cleaning import clean_orders, late_measures, silver_columns, with_period
 from tallymart.operators.dedupe import dedupe_exact, dedupe_latest
 from tallymart.operators.quality import (
     QualityGateError,
@@ -91,6 +92,17 @@ def _stage_metrics(staged: DataFrame) -> RunMetrics:
     return RunMetrics(sum(counts.values()), counts.get(True, 0))
 
 
+def _completed(late: dict[str, Column], order: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """Adds the late measures, in their places; they are neither staged nor shuffled beside their text."""
+
+    def finish(df: DataFrame) -> DataFrame:
+        whole = df.withColumns(late)
+        placed = [c for c in order if c in whole.columns]
+        return whole.select(*[F.col(f"`{c}`") for c in [*placed, *[c for c in whole.columns if c not in order]]])
+
+    return finish
+
+
 def process(
     bronze: DataFrame,
     paths: LakePaths,
@@ -104,6 +116,13 @@ def process(
     to the per-batch tables, and doing the same batch again changes nothing.
     Rejects are kept even when the gate stops the run, and so is an audit row.
     """
+    with settings(bronze.sparkSession, writers.LEAN_SETTINGS):
+        return _process(bronze, paths, options, run_id, batch_id)
+
+
+def _process(
+    bronze: DataFrame, paths: LakePaths, options: RunOptions, run_id: str, batch_id: str | None
+) -> RunResult:
     spark = bronze.sparkSession
     started = datetime.now(timezone.utc)
     corrects = options.corrections and batch_id is not None
@@ -132,14 +151,16 @@ def process(
 
     cleaned = clean_orders(bronze, options.contract, options.names)
     classified = classify(cleaned, date_range=options.contract.date_range, keys=options.business_keys)
+    needed = {"sales_clean", *options.latest_first, *options.business_keys}
+    late = late_measures(options.contract, classified.columns, needed)
     folder = paths.staging(f"run-{run_id}")
     metrics = RunMetrics(0, 0)
     try:
-        staged = _stage(classified, folder)
+        staged = _stage(classified.drop(*late), folder)
         metrics = _stage_metrics(staged)
         if metrics.row_bad:
             rejects = staged.where(~F.col(STAGE_FLAG)).drop(STAGE_FLAG)
-            writers.write_quarantine(rejects, paths.quarantine, run_id)
+            writers.write_quarantine(rejects, paths.quarantine, run_id, _completed(late, classified.columns))
         try:
             check_gate(metrics, options.max_bad_fraction)
         except QualityGateError:
@@ -149,12 +170,13 @@ def process(
         if options.drop_duplicates:
             good = dedupe_exact(good)
         silver = silver_columns(good, options.contract)
+        finish = _completed(late, silver_columns(classified.drop(REASONS, CORRUPT), options.contract).columns)
         if corrects:
-            marts, published = _publish_corrections(silver, paths, options, folder, batch_id)
+            marts, published = _publish_corrections(silver, paths, options, folder, batch_id, finish)
         else:
             if options.business_keys:
-                silver = _one_per_key(silver, paths, options, batch_id)
-            marts, published = _publish(silver, paths, options, folder, batch_id)
+                silver = _one_per_key(silver, paths, options, batch_id, folder)
+            marts, published = _publish(silver, paths, options, folder, batch_id, finish)
         audit("SUCCEEDED", metrics, metrics.row_good - published)
     except QualityGateError:
         raise
@@ -174,14 +196,30 @@ def _key_order(silver: DataFrame, options: RunOptions) -> list:
     return [*[F.desc_nulls_last(c) for c in options.latest_first if c in silver.columns], *rest]
 
 
+def _ranked(silver: DataFrame, options: RunOptions) -> DataFrame:
+    """One row a key, the first in the key order.  The period follows from the date and travels only if it is ordered by."""
+    keys, ordered = list(options.business_keys), set(options.business_keys) | set(options.latest_first)
+    if "order_date" not in ordered or ordered & set(writers.PERIOD):
+        return dedupe_latest(silver, keys, _key_order(silver, options))
+    slim = silver.drop(*writers.PERIOD)
+    kept = with_period(dedupe_latest(slim, keys, _key_order(slim, options)))
+    return kept.select(*[F.col(f"`{c}`") for c in silver.columns])
+
+
 def _publish_corrections(
-    silver: DataFrame, paths: LakePaths, options: RunOptions, folder: str, batch_id: str
+    silver: DataFrame,
+    paths: LakePaths,
+    options: RunOptions,
+    folder: str,
+    batch_id: str,
+    finish: Callable[[DataFrame], DataFrame],
 ) -> tuple[list[str], int]:
     """One batch whose rows replace earlier ones of their keys; the log's line makes it count."""
     spark = silver.sparkSession
     turn = corrections.take_turn(spark, paths, batch_id, options.key_buckets)
     dims = list(dict.fromkeys(d for mart in options.marts.values() for d in mart))
     keys = list(options.business_keys)
+    silver = finish(silver)
     changed = corrections.changed_rows(silver, paths, keys, _key_order(silver, options), dims, turn, folder)
     rows = changed.select(*silver.columns).withColumn("batch_id", F.lit(batch_id))
     writers.write_batch(rows, paths.silver_batches, writers.PERIOD)
@@ -194,19 +232,25 @@ def _publish_corrections(
 
 
 def _one_per_key(
-    silver: DataFrame, paths: LakePaths, options: RunOptions, batch_id: str | None
+    silver: DataFrame, paths: LakePaths, options: RunOptions, batch_id: str | None, folder: str | None = None
 ) -> DataFrame:
     """One row a key, and none whose key an earlier batch has.
 
     Keys of earlier batches go out first, so that their rows are not sorted within their key.
     """
-    keys = list(options.business_keys)
     if batch_id is not None:
-        silver = _new_keys(silver, paths, keys, batch_id)
-    return dedupe_latest(silver, keys, _key_order(silver, options))
+        silver = _new_keys(silver, paths, list(options.business_keys), batch_id, folder)
+    return _ranked(silver, options)
+
 
+def _new_keys(
+    silver: DataFrame, paths: LakePaths, keys: list[str], batch_id: str, folder: str | None = None
+) -> DataFrame:
+    """Rows whose key no earlier batch has.  None of their keys is NULL.
 
-def _new_keys(silver: DataFrame, paths: LakePaths, keys: list[str], batch_id: str) -> DataFrame:
+    Keys alone are compared; stored in ``folder`` the new ones are counted before any row
+    is shuffled, so a delivery that came before costs its keys.
+    """
     kinds = {f.name: f for f in silver.schema}
     schema = T.StructType([*[kinds[k] for k in keys], T.StructField("batch_id", T.StringType())])
     before = read_optional(silver.sparkSession, paths.silver_batches, schema)
@@ -214,7 +258,34 @@ def _new_keys(silver: DataFrame, paths: LakePaths, keys: list[str], batch_id: st
         return silver
     # the key columns of all earlier batches: a corrected date must not publish a key again
     others = before.where(F.col("batch_id") != batch_id).select(*keys)
-    return silver.join(others, keys, "left_anti")
+    fresh = silver.select(*keys).distinct().join(others, keys, "left_anti")
+    if folder is not None:
+        fresh = written(fresh, "fresh", folder)
+    return silver.join(fresh, keys, "left_semi")
+
+
+def _write_rows(
+    silver: DataFrame,
+    paths: LakePaths,
+    batch_id: str,
+    finish: Callable[[DataFrame], DataFrame] = writers.as_is,
+) -> DataFrame:
+    """A batch's rows, published and read back."""
+    spark = silver.sparkSession
+
+    def owned(df: DataFrame) -> DataFrame:
+        return finish(df).withColumn("batch_id", F.lit(batch_id))
+
+    writers.write_batch(silver, paths.silver_batches, writers.PERIOD, owned)
+    schema = owned(silver).schema
+    # the batch's own folder alone is listed, however many batches there are
+    return (
+        spark.read.schema(schema)
+        .option("basePath", paths.silver_batches)
+        .parquet(f"{paths.silver_batches}/batch_id={batch_id}")
+        if published_rows(spark, paths.silver_batches, batch_id)
+        else spark.createDataFrame([], schema)
+    )
 
 
 def _publish(
@@ -223,23 +294,15 @@ def _publish(
     options: RunOptions,
     folder: str,
     batch_id: str | None,
+    finish: Callable[[DataFrame], DataFrame],
 ) -> tuple[list[str], int]:
     """The marts written, and the rows of silver by its file footers."""
     spark = silver.sparkSession
     if batch_id is None:
-        writers.write_silver(silver, paths.silver)
-        stored = spark.read.schema(silver.schema).parquet(paths.silver)
+        writers.write_silver(silver, paths.silver, finish=finish)
+        stored = spark.read.schema(finish(silver).schema).parquet(paths.silver)
     else:
-        silver = silver.withColumn("batch_id", F.lit(batch_id))
-        writers.write_batch(silver, paths.silver_batches, writers.PERIOD)
-        # the batch's own folder alone is listed, however many batches there are
-        stored = (
-            spark.read.schema(silver.schema)
-            .option("basePath", paths.silver_batches)
-            .parquet(f"{paths.silver_batches}/batch_id={batch_id}")
-            if published_rows(spark, paths.silver_batches, batch_id)
-            else spark.createDataFrame([], silver.schema)
-        )
+        stored = _write_rows(silver, paths, batch_id, finish)
     if options.silver_csv:
         writers.write_silver_csv(stored, paths.export(f"silver-{batch_id or 'full'}"))
     marts = available_marts(stored.columns, options.marts)

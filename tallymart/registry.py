@@ -23,7 +23,7 @@ from tallymart.operators import timeseries as ts
 from tallymart.operators.quality import QualityGateError
 from tallymart.plans import dashboard, marts
 from tallymart.plans.pipeline import RunOptions, run_batch
-from tallymart.session import scratch_path, written
+from tallymart.session import scratch_path, settings, written
 from tallymart.sources import readers, writers
 from tallymart.sources.messy import messy_bronze
 from tallymart.sources.paths import LakePaths
@@ -328,6 +328,18 @@ RAW_FILE_ROWS = 1_000_000
 RAW_FILES = 4
 
 
+def _deliver(rows: DataFrame, raw: str) -> None:
+    """Rows as packed order files beside those of earlier deliveries.  A packed file is one task's, so its rows are bounded."""
+    options = {**writers.CSV_OPTIONS, "compression": "gzip", "maxRecordsPerFile": str(RAW_FILE_ROWS)}
+    with settings(rows.sparkSession, writers.LEAN_SETTINGS):
+        rows.write.mode("append").options(**options).csv(raw)
+
+
+def _delivered(spark: SparkSession, raw: str) -> DataFrame:
+    """The text that was delivered so far."""
+    return readers.read_bronze(spark, raw).drop(readers.CORRUPT)
+
+
 def _raw_folder(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "raw")
     messy_bronze(spark, sf_dir).write.options(**writers.CSV_OPTIONS).csv(path)
@@ -415,9 +427,10 @@ def ingest_redelivered_file(spark, sf_dir):
     paths, raw = LakePaths(scratch_path(spark, "lake")), scratch_path(spark, "raw")
     keys = ("order_id", "line_number")
     options = RunOptions(business_keys=keys, latest_first=("sales_clean", "order_date"))
-    for _ in range(2):
-        messy_bronze(spark, sf_dir).write.mode("append").options(**writers.CSV_OPTIONS).csv(raw)
-        ingest_available(spark, raw, paths, options)
+    _deliver(messy_bronze(spark, sf_dir), raw)
+    ingest_available(spark, raw, paths, options)
+    _deliver(_delivered(spark, raw), raw)
+    ingest_available(spark, raw, paths, options)
     return shown(marts.read_gold_batches(spark, paths, "monthly_revenue"))
 
 

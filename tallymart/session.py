@@ -46,6 +46,8 @@ def build_session(
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
         "spark.sql.parquet.filterPushdown": "true",
+        # Shuffled rows of text are half as many bytes as with the default, for the same time.
+        "spark.io.compression.codec": "zstd",
     }
     if input_bytes is not None:
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(

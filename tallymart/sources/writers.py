@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,14 @@ CSV_OPTIONS = {
 }
 
 
+#: Of jobs that move whole tables: Parquet in the denser codec, and a job's shuffle files go when it ends
+#: instead of when the driver happens to collect its garbage.
+LEAN_SETTINGS = {
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+
 def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Rows of one key side by side, if keys are given, in files of the advisory size.
 
@@ -27,15 +37,27 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
-def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    balanced(df, *PERIOD).write.mode(mode).partitionBy(*PERIOD).parquet(path)
+def as_is(df: DataFrame) -> DataFrame:
+    return df
 
 
-def write_batch(df: DataFrame, path: str, keys: tuple[str, ...] = ()) -> None:
-    """Publish one batch below ``batch_id=``; a replayed batch replaces itself."""
-    laid_out = balanced(df, "batch_id", *keys) if keys else df
+def write_silver(
+    df: DataFrame, path: str, mode: str = "overwrite", finish: Callable[[DataFrame], DataFrame] = as_is
+) -> None:
+    """``finish`` adds columns that rows can do without in the shuffle."""
+    finish(balanced(df, *PERIOD)).write.mode(mode).partitionBy(*PERIOD).parquet(path)
+
+
+def write_batch(
+    df: DataFrame, path: str, keys: tuple[str, ...] = (), finish: Callable[[DataFrame], DataFrame] = as_is
+) -> None:
+    """Publish one batch below ``batch_id=``; a replayed batch replaces itself.
+
+    ``finish`` adds columns that rows can do without in the shuffle, such as a constant ``batch_id``.
+    """
+    laid_out = balanced(df, *[k for k in ("batch_id", *keys) if k in df.columns]) if keys else df
     (
-        laid_out.write.mode("overwrite")
+        finish(laid_out).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id", *keys)
         .parquet(path)
@@ -63,10 +85,12 @@ def export_csv(df: DataFrame, path: str, *order: str, one_file: bool = True) ->
     ordered.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def write_quarantine(bad: DataFrame, path: str, run_id: str) -> None:
+def write_quarantine(
+    bad: DataFrame, path: str, run_id: str, finish: Callable[[DataFrame], DataFrame] = as_is
+) -> None:
     """All rejects of a run below ``run_id=``; a repeated run replaces its own."""
     (
-        balanced(bad.withColumn("run_id", F.lit(run_id)))
+        finish(balanced(bad.withColumn("run_id", F.lit(run_id))))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
