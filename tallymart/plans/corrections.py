@@ -7,7 +7,8 @@ key kept, so the state before a batch is at most ``FAN - 1`` segments of each
 level, and of those only the buckets that the batch's own keys fall into.
 
 A batch publishes the rows that are new or differ from the current row of their
-key.  Its gold holds their sums less those of the rows they replace, whatever
+key; all rows of the first one are new, so they are published before their state
+is made from them.  Its gold holds their sums less those of the rows they replace, whatever
 month or category these were in; the replaced rows are listed in ``retracted``.
 No earlier silver or gold is read.
 
@@ -19,6 +20,7 @@ bring the same rows again.  Batches of one lake are published one at a time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +28,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.contract import MONEY
-from tallymart.operators.dedupe import dedupe_latest
 from tallymart.session import path_exists, written
 from tallymart.sources import writers
 from tallymart.sources.paths import LakePaths
@@ -58,7 +59,8 @@ def take_turn(spark: SparkSession, paths: LakePaths, batch_id: str, buckets: int
     """The batch's old number if it was published, else the next one.  The first batch fixes ``buckets``."""
     log = read_log(spark, paths)
     if log is None:
-        if read_optional(spark, paths.silver_batches) is not None:
+        left = read_optional(spark, paths.silver_batches, T.StructType().add("batch_id", "string"))
+        if left is not None and left.where(F.col("batch_id") != batch_id).limit(1).count():  # own rows: it failed before
             raise ValueError(f"{paths.silver_batches} has batches that are not in a key table")
         return Turn(batch_id, 1, buckets)
     own = F.max(F.when(F.col("batch_id") == batch_id, F.col("number")))
@@ -105,29 +107,44 @@ def _state_schema(silver: T.StructType, keys: list[str], dims: list[str]) -> T.S
 
 def _as_state(silver: DataFrame, keys: list[str], dims: list[str], turn: Turn) -> DataFrame:
     """Rows of silver with the columns of the key table beside their own."""
-    present = [d for d in dims if d in silver.columns]
+    present = set(dims) & set(silver.columns)
     whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(silver.columns)]))
     return silver.withColumns(
         {
             "_year": F.col("year").cast("int"),
             "_month": F.col("month").cast("int"),
             **{f"_dim_{i}": (F.col(d) if d in present else F.lit(None)).cast("string") for i, d in enumerate(dims)},
-            "_has": F.array(*map(F.lit, present)).cast("array<string>"),
             "_amount": F.col("sales_clean").cast(MONEY),
             "_digest": F.substring(F.unhex(F.sha2(whole, 256)), 1, DIGEST_BYTES),
-            "_owner": F.lit(turn.batch_id),
-            "_number": F.lit(turn.number).cast("long"),
+            **_own_values(silver.columns, dims, turn),
             "bucket": bucket_of(keys, turn.buckets),
         }
     )
 
 
+def _own_values(columns: list[str], dims: list[str], turn: Turn) -> dict[str, Column]:
+    """Columns of the key table with one value in all rows of a batch."""
+    return {
+        "_has": F.array(*[F.lit(d) for d in dims if d in columns]).cast("array<string>"),
+        "_owner": F.lit(turn.batch_id),
+        "_number": F.lit(turn.number).cast("long"),
+    }
+
+
 def _segment(paths: LakePaths, level: int, place: int) -> str:
     return f"{paths.keys}/level={level}/segment={place:09d}"
 
 
-def _write_segment(rows: DataFrame, path: str) -> None:
-    writers.balanced(rows, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+def _write_segment(rows: DataFrame, path: str, finish: Callable[[DataFrame], DataFrame] = writers.as_is) -> None:
+    finish(writers.balanced(rows, "bucket")).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def _write_own_segment(rows: DataFrame, paths: LakePaths, schema: T.StructType, dims: list[str], turn: Turn) -> None:
+    """The batch's own segment; what is one value in all its rows is not shuffled."""
+    same = _own_values(rows.columns, dims, turn)
+    moved = rows.select(*[n for n in schema.names if n not in same])
+    path = _segment(paths, 0, turn.number - 1)
+    _write_segment(moved, path, lambda df: df.withColumns(same).select(*schema.names))
 
 
 def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -154,40 +171,51 @@ def _read_segments(spark: SparkSession, segments: list[str], schema: T.StructTyp
     return rows
 
 
+def _old_names(schema: T.StructType, keys: list[str]) -> list[str]:
+    return [n for n in schema.names if n not in keys and n != "bucket"]
+
+
+def first_rows(
+    silver: DataFrame, paths: LakePaths, keys: list[str], dims: list[str], turn: Turn, folder: str
+) -> DataFrame:
+    """What gold makes of a first batch's published rows, and an ``_old`` of NULL, stored in ``folder``.
+
+    The batch's segment is written too; keys and digests are stored there only.
+    """
+    rows = _as_state(silver, keys, dims, turn)
+    schema = _state_schema(rows.schema, keys, dims)
+    olds = _old_names(schema, keys)
+    _write_own_segment(rows, paths, schema, dims, turn)
+    kinds = T.StructType([schema[n] for n in olds])
+    changed = rows.select(*[n for n in olds if n != "_digest"], F.lit(None).cast(kinds).alias("_old"))
+    return written(changed, "changed", folder)
+
+
 def changed_rows(
-    silver: DataFrame,
-    paths: LakePaths,
-    keys: list[str],
-    order: list[str | Column],
-    dims: list[str],
-    turn: Turn,
-    folder: str,
+    silver: DataFrame, paths: LakePaths, keys: list[str], dims: list[str], turn: Turn, folder: str
 ) -> DataFrame:
-    """The batch's rows that are new or differ from the current row of their key, stored in ``folder``.
+    """The batch's rows, one a key, that are new or differ from the current row of their key, stored in ``folder``.
 
     Beside silver's columns they carry those of the key table, and ``_old``: the
     row that each replaces, or NULL.  The batch's segment is written too.
     """
     spark = silver.sparkSession
     columns = silver.columns
-    rows = _as_state(dedupe_latest(silver, keys, order), keys, dims, turn)
+    rows = _as_state(silver, keys, dims, turn)
     schema = _state_schema(rows.schema, keys, dims)
     names = [n for n in schema.names if n not in keys]
-    kinds = T.StructType([schema[n] for n in names])
-    if turn.number == 1:  # read once
-        changed = rows.withColumn("_old", F.lit(None).cast(kinds))
-    else:
-        rows = written(rows, "keyed", folder)
-        hit = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
-        segments = [_merged(spark, paths, schema, keys, *part) for part in cover(turn.number - 1)]
-        before = _read_segments(spark, segments, schema).where(F.col("bucket").isin(hit))
-        current = _latest(before.join(rows.select(*keys), keys, "left_semi"), keys)
-        old = current.select(*keys, F.struct(*names).alias("_old"))
-        changed = rows.join(old, keys, "left").where(
-            F.col("_old").isNull() | (F.col("_old._digest") != F.col("_digest"))
-        )
+    olds = _old_names(schema, keys)
+    rows = written(rows, "keyed", folder)
+    hit = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
+    segments = [_merged(spark, paths, schema, keys, *part) for part in cover(turn.number - 1)]
+    before = _read_segments(spark, segments, schema).where(F.col("bucket").isin(hit)).drop("bucket")
+    current = _latest(before.join(rows.select(*keys), keys, "left_semi"), keys)
+    old = current.select(*keys, F.struct(*olds).alias("_old"))
+    changed = rows.join(old, keys, "left").where(
+        F.col("_old").isNull() | (F.col("_old._digest") != F.col("_digest"))
+    )
     changed = written(changed.select(*columns, *names, "_old"), "changed", folder)
-    _write_segment(changed.select(*schema.names), _segment(paths, 0, turn.number - 1))
+    _write_own_segment(changed, paths, schema, dims, turn)
     replaced = changed.where("_old IS NOT NULL").select(
         *keys, F.col("_old._owner").alias("owner"), F.lit(turn.batch_id).alias("batch_id")
     )

@@ -219,12 +219,16 @@ def _publish_corrections(
     turn = corrections.take_turn(spark, paths, batch_id, options.key_buckets)
     dims = list(dict.fromkeys(d for mart in options.marts.values() for d in mart))
     keys = list(options.business_keys)
-    silver = finish(silver)
-    changed = corrections.changed_rows(silver, paths, keys, _key_order(silver, options), dims, turn, folder)
-    rows = changed.select(*silver.columns).withColumn("batch_id", F.lit(batch_id))
-    writers.write_batch(rows, paths.silver_batches, writers.PERIOD)
+    ranked = _ranked(silver, options)
+    columns = [F.col(f"`{c}`") for c in finish(silver).columns]
+    if turn.number == 1:  # all are new: laid out at once, their state is made from the published rows
+        stored = _write_rows(ranked, paths, batch_id, finish)
+        changed = corrections.first_rows(stored.select(*columns), paths, keys, dims, turn, folder)
+    else:
+        changed = corrections.changed_rows(finish(ranked), paths, keys, dims, turn, folder)
+        stored = _write_rows(changed.select(*columns), paths, batch_id)
     if options.silver_csv:
-        writers.write_silver_csv(rows, paths.export(f"silver-{batch_id}"))
+        writers.write_silver_csv(stored.select(*columns, "batch_id"), paths.export(f"silver-{batch_id}"))
     for name, table in corrections.signed_marts(changed, options.marts, dims, folder).items():
         writers.write_batch(table.withColumn("batch_id", F.lit(batch_id)), paths.gold_batches(name))
     corrections.publish_turn(spark, paths, turn)

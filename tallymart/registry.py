@@ -440,14 +440,14 @@ def ingest_corrected_rows(spark, sf_dir):
     paths, raw = LakePaths(scratch_path(spark, "lake")), scratch_path(spark, "raw")
     keys = ("order_id", "line_number")
     options = RunOptions(business_keys=keys, latest_first=("sales_clean", "order_date"), corrections=True)
-    messy = messy_bronze(spark, sf_dir)
+    _deliver(messy_bronze(spark, sf_dir), raw)
+    ingest_available(spark, raw, paths, options)
     line = F.col("`Line.Number`")
-    again = messy.where((F.col("` Order ID`").cast("long") + line.cast("long")) % 7 == 3).withColumns(
+    again = _delivered(spark, raw).where((F.col("` Order ID`").cast("long") + line.cast("long")) % 7 == 3).withColumns(
         {"Sales": F.concat(F.lit("$"), line, F.lit(".50")), "Order Date": F.concat(F.lit("7/15/"), F.col("Year"))}
     )
-    for delivery in (messy, again):
-        delivery.write.mode("append").options(**writers.CSV_OPTIONS).csv(raw)
-        ingest_available(spark, raw, paths, options)
+    _deliver(again, raw)
+    ingest_available(spark, raw, paths, options)
     return shown(marts.read_gold_batches(spark, paths, "monthly_revenue"))
 
 
